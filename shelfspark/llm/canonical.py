@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.session import width
+
 MOST_ENTRIES = 200_000
 
 # Letters of other scripts that look like Latin ones, and digits typed for letters.
@@ -83,9 +85,12 @@ def swap_distance(a: str, b: str) -> int:
     return row[-1]
 
 
-@F.pandas_udf("int")
-def _swap_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([swap_distance(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
+def _swaps(a: str, b: str) -> Column:
+    @F.pandas_udf("int")
+    def udf(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([swap_distance(p, q) for p, q in zip(x, y, strict=True)], dtype="int32")
+
+    return udf(F.col(a), F.col(b))
 
 
 def repair_tokens(tokens: DataFrame, vocabulary: DataFrame, least: float = 0.55) -> DataFrame:
@@ -103,8 +108,12 @@ def repair_tokens(tokens: DataFrame, vocabulary: DataFrame, least: float = 0.55)
     short = _is_abbreviation(F.col("token"), F.col("word"))
     scored = near.where(F.col("shared") >= need).withColumn("sim", F.when(short, F.greatest(sim, F.lit(0.8))).otherwise(sim))
     clear = scored.where(F.col("sim") >= 0.8).select("token", "word", "sim")
-    unclear = scored.where((F.col("sim") < 0.8) & (F.col("sim") >= 0.3))  # swaps count twice so far
-    swapped = unclear.select("token", "word", (1 - _swap_distance("token", "word") / longest).alias("sim"))
+    # Swaps count twice so far; words that may still be near share their letters, whatever the order.
+    letters = F.size(F.array_intersect(F.split("token", ""), F.split("word", "")))
+    same = letters >= 0.65 * F.size(F.array_distinct(F.split("word", "")))
+    unclear = scored.where((F.col("sim") < 0.8) & (F.col("sim") >= 0.3) & same & (F.abs(F.char_length("token") - F.char_length("word")) <= 3))
+    unclear = unclear.repartition(width(tokens.sparkSession), "token")  # few bytes, much work: keep every core busy
+    swapped = unclear.select("token", "word", (1 - _swaps("token", "word") / longest).alias("sim"))
     return clear.unionByName(swapped).where(F.col("sim") >= least)
 
 
