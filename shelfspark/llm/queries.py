@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import canonical, distinctive
+from shelfspark.llm import canonical, distinctive, languages, leaks
 from shelfspark.session import table
 
 
@@ -38,7 +38,16 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("row_ord", F.coalesce("entry_id", F.lit(-1)).cast("bigint").alias("brand_id"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_residuals": p6_residuals, "p7_found": p7_found}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = languages.relabelled(languages.identify(table(spark, sf_dir, "documents")))
+    return got.select(F.col("key").alias("doc_id"), "seg_no", "lang")
+
+
+QUERIES = {"p9_found": p9_found, "p10_found": p10_found, "p6_found": p6_found, "p6_residuals": p6_residuals, "p7_found": p7_found}
 
 _TERMS = """names as (select row_ord, name from mini_a union all select row_ord, name from mini_b),
 t as (select row_ord, unnest(list_filter(regexp_extract_all(lower(name), '\\p{L}+'), lambda x: length(x) >= 4)) as term from names)"""
