@@ -35,6 +35,8 @@ for _i, _c in enumerate(LETTERS, start=1):
 SIZE = len(LETTERS) + 1
 _TAG = re.compile(r"<[^<>]{1,200}>")
 _QUOTE = re.compile(r"\"[^\"\n]{1,250}\"|«[^»\n]{1,250}»|„[^“”\n]{1,250}[“”]|“[^”\n]{1,250}”")
+_HYPHEN = re.compile(r"(?<=\w)[-‐]\r?\n[>\s]*(?=\w)")
+_CITED = re.compile(r"^[>\s]+", re.MULTILINE)
 _END = re.compile(r"(?<=[.!?…])[\"»”“)]*\s+|\n+")
 
 
@@ -51,8 +53,19 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def plain(text: str) -> str:
-    """Without markup and quoted titles."""
-    return _QUOTE.sub(" ", _TAG.sub("\n", html.unescape(text)))
+    """Without markup and quoted titles, words and sentences that line breaks cut put together again.
+
+    A line break ends a sentence after a closing mark or a short line (a heading); an empty line always does.
+    """
+    s = _HYPHEN.sub("", _TAG.sub("\n\n", html.unescape(text)).replace("\u00ad", ""))
+    out = []
+    for block in re.split(r"\n\s*\n", _CITED.sub("", s.replace("\r", "")) if ">" in s else s.replace("\r", "")):
+        lines = block.split("\n")
+        for line in lines[:-1]:
+            t = line.rstrip()
+            out.append(t + ("\n" if not t or t[-1] in ".!?…:" or len(t.split()) <= 6 else " "))
+        out.append(lines[-1] + "\n")
+    return _QUOTE.sub(" ", "".join(out))
 
 
 def unaccented(text: str) -> str:
@@ -73,38 +86,57 @@ def letter_vectors(dims: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).choice(np.array([-1.0, 1.0], dtype=np.float32), (SIZE, dims))
 
 
-def score_table(samples: dict[str, list[str]], dims: int = 2048, seed: int = 7, rounds: int = 2) -> tuple[list[str], np.ndarray]:
+def score_table(
+    samples: dict[str, list[str]], dims: int = 2048, seed: int = 7, per_language: int = 1500, epochs: int = 20
+) -> tuple[list[str], np.ndarray]:
     """(languages, table): cosine contributions of every trigram with every prototype.
 
-    Labels may be wrong: after each round the samples that another prototype suits better are left out.
+    After bundling, the prototypes are retrained: sample sentences that do not clear a margin are added to their own
+    prototype and taken from the rival. Labels may be wrong, so sentences far from their label take no part.
     """
     langs = sorted(samples)
     letters = letter_vectors(dims, seed)
     first, second = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1)
+    protos = np.zeros((dims, len(langs)), dtype=np.float32)
+    vectors, labels = [], []
     pair = (first[:, None, :] * second[None, :, :]).reshape(SIZE * SIZE, dims)
-
-    def count(texts: list[np.ndarray]) -> np.ndarray:
+    for k, x in enumerate(langs):
         n = np.zeros(SIZE**3, dtype=np.float32)
-        for t in texts:
-            np.add.at(n, t, 1)
-        return np.sqrt(n)  # a phrase that a corpus repeats must not fill the prototype
-
-    grams = {x: [trigrams(v) for s in samples[x] for v in dict.fromkeys((s, unaccented(s)))] for x in langs}
-    kept = grams
+        sents = list(dict.fromkeys(v for t in samples[x] for s, h in sentences(t) if not h for v in (s, unaccented(s))))
+        for s in sents:
+            np.add.at(n, trigrams(s), 1)
+        # the root: a phrase that a corpus repeats must not fill the prototype
+        protos[:, k] = ((np.sqrt(n).reshape(SIZE * SIZE, SIZE) @ letters) * pair).sum(axis=0)
+        for s in sents[:: max(1, len(sents) // per_language)]:
+            g = trigrams(s)
+            if len(g) >= 8:
+                v = (pair[g // SIZE] * letters[g % SIZE]).sum(axis=0)
+                vectors.append(v / (np.linalg.norm(v) + 1e-9))
+                labels.append(k)
+    protos /= np.linalg.norm(protos, axis=0) + 1e-9
+    protos -= protos.mean(axis=1, keepdims=True)
+    protos /= np.linalg.norm(protos, axis=0) + 1e-9
+    if vectors:
+        h, y = np.array(vectors, dtype=np.float32), np.array(labels)
+        at = np.arange(len(y))
+        scores = h @ protos
+        own = scores[at, y]
+        near = scores.max(axis=1) - own <= 0.06
+        h, y = h[near], y[near]
+        at = np.arange(len(y))
+        for _ in range(epochs if len(y) else 0):
+            scores = h @ protos
+            own = scores[at, y].copy()
+            scores[at, y] = -9
+            rival = scores.argmax(axis=1)
+            weak = own - scores[at, rival] < 0.12
+            for k in range(len(langs)):
+                up, down = h[weak & (y == k)], h[weak & (rival == k)]
+                protos[:, k] += 0.5 * (up.sum(axis=0) - down.sum(axis=0)) / max(1, len(y) // len(langs)) * 4
+            protos /= np.linalg.norm(protos, axis=0) + 1e-9
     table = np.zeros((SIZE**3, len(langs)), dtype=np.float32)
-    for _ in range(rounds):
-        protos = np.zeros((dims, len(langs)), dtype=np.float32)
-        for k, x in enumerate(langs):
-            n = count(kept[x]).reshape(SIZE * SIZE, SIZE)
-            protos[:, k] = ((n @ letters) * pair).sum(axis=0)
-        protos /= np.linalg.norm(protos, axis=0) + 1e-9
-        protos -= protos.mean(axis=1, keepdims=True)
-        protos /= np.linalg.norm(protos, axis=0) + 1e-9
-        for c in range(SIZE):
-            table[c::SIZE] = ((pair * letters[c]) @ protos) / np.sqrt(dims)
-        kept = {
-            x: [t for t in grams[x] if len(t) and int(table[t].sum(axis=0).argmax()) == k] or grams[x] for k, x in enumerate(langs)
-        }
+    for c in range(SIZE):
+        table[c::SIZE] = ((pair * letters[c]) @ protos) / np.sqrt(dims)
     return langs, table
 
 
@@ -164,7 +196,7 @@ def sample_texts(df: DataFrame, text: str, lang: str, key: str, languages: tuple
     picked = labelled.select(lang, F.substring(text, 1, chars).alias("t"), F.xxhash64(key).alias("h")).orderBy("h").limit(rows).collect()
     out: dict[str, list[str]] = {x: [] for x in languages}
     for r in picked:
-        out[r[lang]].append(plain(r["t"]))
+        out[r[lang]].append(r["t"])
     return {k: v for k, v in out.items() if v}
 
 

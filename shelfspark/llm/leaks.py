@@ -30,13 +30,14 @@ from shelfspark.session import spread
 MASKS = ("1110011", "1101011", "1011101")
 MOST_HASHES = 2_000_000
 _TAG = re.compile(r"<[^<>]{1,200}>")
+_HYPHEN = re.compile(r"(?<=\w)[-‐]\r?\n[>\s]*(?=\w)")
 _WORD = re.compile(r"[0-9a-z]+")
 _MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64 | 1 for i in range(16)], dtype=np.uint64)
 
 
 def words(text: str) -> list[str]:
     """Words without markup, case and accents."""
-    s = html.unescape(_TAG.sub(" ", text)).lower()
+    s = _HYPHEN.sub("", html.unescape(_TAG.sub(" ", text)).replace("\u00ad", "").lower())
     if not s.isascii():
         s = "".join(c for c in unicodedata.normalize("NFKD", s.replace("ß", "ss")) if not unicodedata.combining(c))
     return _WORD.findall(s)

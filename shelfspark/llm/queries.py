@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import canonical, distinctive, languages, leaks
-from shelfspark.session import table
+from shelfspark.llm import canonical, distinctive, languages, leaks, packing
+from shelfspark.session import cut_lineage, table
 
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,24 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("row_ord", F.coalesce("entry_id", F.lit(-1)).cast("bigint").alias("brand_id"))
 
 
+def _budgets(spark: SparkSession, sf_dir: str) -> list[tuple[int, int]]:
+    """The container capacities, a fixed table of a few rows."""
+    rows = table(spark, sf_dir, "token_budgets").orderBy("budget_id").limit(1001).collect()
+    if len(rows) > 1000:
+        raise ValueError("more than 1,000 budgets")
+    return [(r["budget_id"], r["capacity_tokens"]) for r in rows]
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of every document (or piece of one) in every budget."""
+    lengths = cut_lineage(packing.token_counts(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return packing.pack(lengths, _budgets(spark, sf_dir)).withColumnRenamed("key", "doc_id")
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_report(p8_containers(spark, sf_dir), table(spark, sf_dir, "token_budgets"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
@@ -47,7 +65,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("key").alias("doc_id"), "seg_no", "lang")
 
 
-QUERIES = {"p9_found": p9_found, "p10_found": p10_found, "p6_found": p6_found, "p6_residuals": p6_residuals, "p7_found": p7_found}
+QUERIES = {"p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found, "p6_found": p6_found, "p6_residuals": p6_residuals, "p7_found": p7_found}
 
 _TERMS = """names as (select row_ord, name from mini_a union all select row_ord, name from mini_b),
 t as (select row_ord, unnest(list_filter(regexp_extract_all(lower(name), '\\p{L}+'), lambda x: length(x) >= 4)) as term from names)"""
