@@ -30,7 +30,9 @@ LOOKALIKES = str.maketrans("аеорсухіјѕԁһкмтвнαοερτικν",
 LEET = str.maketrans("015348", "olseab")
 # Words round a name that are no part of it.
 COMPANY_WORDS = frozenset("inc llc ltd co corp corporation company gmbh sa ag plc us usa uk tm r brand brands by from the and".split())
-FILLERS = frozenset("n/a na none null unknown unbranded generic no brand nobrand - -- ? tbd misc other various assorted".split())
+FILLERS = frozenset("n/a na none null unknown unbranded generic nobrand - -- ? tbd misc other various assorted".split()) | {
+    "no brand", "see description", "not applicable", "store brand", "n a"
+}
 
 
 def fold(s: str) -> str:
@@ -99,7 +101,9 @@ def repair_tokens(tokens: DataFrame, vocabulary: DataFrame, least: float = 0.55)
     ``tokens``: one column ``token``; ``vocabulary``: one column ``word``, no larger than ``MOST_ENTRIES`` words.
     """
     v = vocabulary.select("word", F.explode(_pairs(F.col("word"))).alias("pair"))
-    t = tokens.distinct().select("token", F.explode(_pairs(F.col("token"))).alias("pair"))
+    # Few bytes, much work: partitions by number, not by size. Partitioned by token, the grouping needs no other shuffle.
+    few = tokens.distinct().repartition(width(tokens.sparkSession), "token")
+    t = few.select("token", F.explode(_pairs(F.col("token"))).alias("pair"))
     near = t.join(F.broadcast(v), "pair").groupBy("token", "word").agg(F.count(F.lit(1)).alias("shared"))
     longest = F.greatest(F.char_length("token"), F.char_length("word"))
     need = F.when(longest >= 8, 2).otherwise(1)
@@ -112,7 +116,6 @@ def repair_tokens(tokens: DataFrame, vocabulary: DataFrame, least: float = 0.55)
     letters = F.size(F.array_intersect(F.split("token", ""), F.split("word", "")))
     same = letters >= 0.65 * F.size(F.array_distinct(F.split("word", "")))
     unclear = scored.where((F.col("sim") < 0.8) & (F.col("sim") >= 0.3) & same & (F.abs(F.char_length("token") - F.char_length("word")) <= 3))
-    unclear = unclear.repartition(width(tokens.sparkSession), "token")  # few bytes, much work: keep every core busy
     swapped = unclear.select("token", "word", (1 - _swaps("token", "word") / longest).alias("sim"))
     return clear.unionByName(swapped).where(F.col("sim") >= least)
 
@@ -165,6 +168,7 @@ def map_to_list(
 ) -> DataFrame:
     """(value, entry_id or null, score, runner_up) for every distinct value that is not blank."""
     distinct = values.select(F.col(value).cast("string").alias("value")).where(F.col("value").rlike(r"(?U)\S")).distinct()
+    distinct = distinct.repartition(width(values.sparkSession), "value")
     cut = distinct.select("value", _tokens(F.col("value")).alias("t")).select("value", "t.tokens", "t.whole")
     listed = entries.select(F.col(entry_id).alias("id"), F.col(entry_name).alias("name")).where("name is not null")
     rows = listed.limit(MOST_ENTRIES + 1).collect()
@@ -177,7 +181,7 @@ def map_to_list(
     repairs = repair_tokens(used, vocabulary)
     per_token = repairs.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("word", "sim"))).alias("near"))
     asked = cut.select("value", "tokens", "whole", F.explode(F.array_distinct(F.concat("tokens", F.array("whole")))).alias("token"))
-    joined = asked.join(per_token, "token", "left").groupBy("value").agg(
+    joined = asked.join(per_token, "token", "left").repartition(width(values.sparkSession), "value").groupBy("value").agg(
         F.first("tokens").alias("tokens"), F.first("whole").alias("whole"),
         F.collect_list(F.struct("token", "near")).alias("repairs"),
     )

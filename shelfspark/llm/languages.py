@@ -204,7 +204,7 @@ def identify(
     df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
     languages: tuple[str, ...] = ("de", "en", "es", "fr", "it", "pt"), rows: int = 4000, chars: int = 2000, dims: int = 2048, change: float = 0.25,
 ) -> DataFrame:
-    """(key, label, seg_no, lang, confidence, n_chars) of every stretch of every document.
+    """(key, label, seg_no, n_segs, lang, confidence, n_chars) of every stretch of every document.
 
     The prototypes are fitted on a bounded sample of labelled rows (``rows`` x ``chars``); every text is read whole.
     """
@@ -219,18 +219,16 @@ def identify(
         for pdf in it:
             out = []
             for k, s, label in zip(pdf["k"], pdf["t"], pdf["l"], strict=True):
-                for n, (x, conf, part) in enumerate(stretches(s, langs, t, change), start=1):
-                    out.append((k, label, n, x, conf, len(part)))
-            got = pd.DataFrame(out, columns=["key", "label", "seg_no", "lang", "confidence", "n_chars"])
-            yield got.astype({"seg_no": "int64", "n_chars": "int64", "confidence": "float64"})
+                got = stretches(s, langs, t, change)
+                out += [(k, label, n, len(got), x, conf, len(part)) for n, (x, conf, part) in enumerate(got, start=1)]
+            frame = pd.DataFrame(out, columns=["key", "label", "seg_no", "n_segs", "lang", "confidence", "n_chars"])
+            yield frame.astype({"seg_no": "int64", "n_segs": "int64", "n_chars": "int64", "confidence": "float64"})
 
     src = df.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
     kind = src.schema["k"].dataType.simpleString()
-    return spread(src).mapInPandas(run, f"key {kind}, label string, seg_no bigint, lang string, confidence double, n_chars bigint")
+    return spread(src).mapInPandas(run, f"key {kind}, label string, seg_no bigint, n_segs bigint, lang string, confidence double, n_chars bigint")
 
 
 def relabelled(segments: DataFrame) -> DataFrame:
     """Stretches of documents whose label is not exactly their only language."""
-    whole = segments.groupBy("key").agg(F.max("seg_no").alias("n"))
-    single_wrong = (F.col("n") == 1) & ~F.coalesce(F.col("label") == F.col("lang"), F.lit(False))
-    return segments.join(whole, "key").where((F.col("n") > 1) | single_wrong)
+    return segments.where((F.col("n_segs") > 1) | ~F.coalesce(F.col("label") == F.col("lang"), F.lit(False)))

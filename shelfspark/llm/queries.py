@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import canonical, distinctive, languages, leaks, packing
+from shelfspark.llm import canonical, distinctive, languages, leaks, matching, packing, products
 from shelfspark.session import cut_lineage, table
 
 
@@ -38,6 +38,24 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("row_ord", F.coalesce("entry_id", F.lit(-1)).cast("bigint").alias("brand_id"))
 
 
+def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = products.catalogue(table(spark, sf_dir, "mini_a"), table(spark, sf_dir, "mini_b"))
+    return products.forms(both, table(spark, sf_dir, "brand_list"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return products.pairs_within(products.product_ids(_forms(spark, sf_dir)))
+
+
+def p4_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches with their marginal probability."""
+    return matching.match(_forms(spark, sf_dir))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_confidence(spark, sf_dir).select("row_lo", "row_hi")
+
+
 def _budgets(spark: SparkSession, sf_dir: str) -> list[tuple[int, int]]:
     """The container capacities, a fixed table of a few rows."""
     rows = table(spark, sf_dir, "token_budgets").orderBy("budget_id").limit(1001).collect()
@@ -65,7 +83,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("key").alias("doc_id"), "seg_no", "lang")
 
 
-QUERIES = {"p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found, "p6_found": p6_found, "p6_residuals": p6_residuals, "p7_found": p7_found}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_confidence": p4_confidence, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found, "p6_found": p6_found, "p6_residuals": p6_residuals, "p7_found": p7_found}
 
 _TERMS = """names as (select row_ord, name from mini_a union all select row_ord, name from mini_b),
 t as (select row_ord, unnest(list_filter(regexp_extract_all(lower(name), '\\p{L}+'), lambda x: length(x) >= 4)) as term from names)"""
