@@ -45,8 +45,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def width(spark: SparkSession, per_core: int = 2) -> int:
-    """Partitions for CPU-heavy narrow work over small files: some per core of the cluster."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), per_core * spark.sparkContext.defaultParallelism)
+    """Partitions for CPU-heavy work on few bytes: some per core of the cluster.
+
+    Never the number of shuffle partitions: a repartition equal to its child's partitioning is optimised out, and
+    the shuffle left in its place is coalesced by size until few cores are busy.
+    """
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(shuffle, per_core * spark.sparkContext.defaultParallelism)
+    return wanted + 1 if wanted == shuffle else wanted
 
 
 def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
