@@ -106,7 +106,7 @@ def repair_tokens(tokens: DataFrame, vocabulary: DataFrame, least: float = 0.55)
     t = few.select("token", F.explode(_pairs(F.col("token"))).alias("pair"))
     near = t.join(F.broadcast(v), "pair").groupBy("token", "word").agg(F.count(F.lit(1)).alias("shared"))
     longest = F.greatest(F.char_length("token"), F.char_length("word"))
-    need = F.when(longest >= 8, 2).otherwise(1)
+    need = F.when(longest >= 8, 4).when(longest >= 6, 3).otherwise(2)
     edits = F.levenshtein("token", "word")
     sim = 1 - edits / longest
     short = _is_abbreviation(F.col("token"), F.col("word"))
