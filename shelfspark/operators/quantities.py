@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.session import plain
+
 # Units of the three base units.
 UNIT_FACTORS = {
     "g": ("g", 1.0),
@@ -268,7 +270,7 @@ def quantity(own: Column, other: Column) -> Column:
                 (base, content, packs, _), residual, only = got
                 rows.append((base, content, packs, half_up(content * packs), residual, only))
         out = pd.DataFrame(rows, columns=["base_unit", "content", "packs", "base_amount", "residual", "is_unique"])
-        return out.astype({"packs": "Int32", "base_amount": "Int64", "is_unique": "boolean"})
+        return plain(out.astype({"packs": "Int32", "base_amount": "Int64", "is_unique": "boolean"}))
 
     return udf(own, other)
 
@@ -278,7 +280,7 @@ def size_text(cell: Column) -> Column:
 
     @F.pandas_udf("string")
     def udf(cells: pd.Series) -> pd.Series:
-        return cells.map(size_cell)
+        return cells.map(size_cell).astype(object)
 
     return udf(cell)
 

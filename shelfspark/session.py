@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -44,6 +45,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def plain(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A frame as Spark takes it back: text as objects, and an empty frame without guessed numeric types."""
+    if pdf.empty:
+        return pdf.astype(object)
+    return pdf.astype({c: object for c in pdf.columns if isinstance(pdf[c].dtype, pd.StringDtype)})
+
+
 def width(spark: SparkSession, per_core: int = 2) -> int:
     """Partitions for CPU-heavy work on few bytes: some per core of the cluster.
 
