@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.session import width
+from shelfspark.session import plain, width
 
 MOST_ENTRIES = 200_000
 
@@ -56,7 +56,7 @@ def _tokens(col: Column) -> Column:
     @F.pandas_udf("tokens array<string>, whole string")
     def udf(s: pd.Series) -> pd.DataFrame:
         got = [tokens_of(x) if x else ([], "") for x in s]
-        return pd.DataFrame({"tokens": [g[0] for g in got], "whole": [g[1] for g in got]})
+        return plain(pd.DataFrame({"tokens": [g[0] for g in got], "whole": [g[1] for g in got]}))
 
     return udf(col)
 
@@ -198,6 +198,6 @@ def map_to_list(
                 ok = best[0] >= threshold and (best[0] - second >= margin or best[0] >= 0.999)
                 out.append((v, best[1] if ok else None, best[1], best[0], second))
             got = pd.DataFrame(out, columns=["value", "entry_id", "nearest_id", "score", "runner_up"])
-            yield got.astype({"entry_id": "Int64", "nearest_id": "Int64"})
+            yield plain(got.astype({"entry_id": "Int64", "nearest_id": "Int64"}))
 
     return joined.mapInPandas(score, "value string, entry_id bigint, nearest_id bigint, score double, runner_up double")

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.session import plain as whole_frame
 from shelfspark.session import spread
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåçèéêëìíîïñòóôõöùúûüßœ"
@@ -222,7 +223,7 @@ def identify(
                 got = stretches(s, langs, t, change)
                 out += [(k, label, n, len(got), x, conf, len(part)) for n, (x, conf, part) in enumerate(got, start=1)]
             frame = pd.DataFrame(out, columns=["key", "label", "seg_no", "n_segs", "lang", "confidence", "n_chars"])
-            yield frame.astype({"seg_no": "int64", "n_segs": "int64", "n_chars": "int64", "confidence": "float64"})
+            yield whole_frame(frame.astype({"seg_no": "int64", "n_segs": "int64", "n_chars": "int64", "confidence": "float64"}))
 
     src = df.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
     kind = src.schema["k"].dataType.simpleString()

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspark.session import cut_lineage, spread
+from shelfspark.session import cut_lineage, plain, spread
 
 TOKENIZER = os.environ.get("SHELFSPARK_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
 Pattern = tuple[int, dict[int, int]]  # times, copies of each length
@@ -92,7 +92,7 @@ def token_counts(df: DataFrame, key: str, text: str, tokenizer: str = TOKENIZER)
             n = []
             for i in range(0, len(texts), 64):
                 n += [len(e.ids) for e in t.encode_batch_fast(list(texts.iloc[i : i + 64]), add_special_tokens=False)]
-            yield pd.DataFrame({"key": pdf["key"], "n_tokens": pd.Series(n, dtype="int64")})
+            yield plain(pd.DataFrame({"key": pdf["key"], "n_tokens": pd.Series(n, dtype="int64")}))
 
     src = df.select(F.col(key).alias("key"), F.col(text).alias("t"))
     return spread(src).mapInPandas(run, f"key {src.schema['key'].dataType.simpleString()}, n_tokens bigint")
@@ -147,7 +147,7 @@ def pack(lengths: DataFrame, budgets: list[tuple[int, int]], salts: int = 64) ->
                 r = pdf["r"].to_numpy()[at]
                 k = np.searchsorted(start, r, side="right") - 1
                 bins[at] = first[k] + (r - start[k]) // copies[k]
-            yield pd.DataFrame({"budget_id": pdf["budget_id"], "container_id": bins, "key": pdf["key"], "piece_no": pdf["piece_no"], "n_tokens": pdf["n"]})
+            yield plain(pd.DataFrame({"budget_id": pdf["budget_id"], "container_id": bins, "key": pdf["key"], "piece_no": pdf["piece_no"], "n_tokens": pdf["n"]}))
 
     kind = lengths.schema["key"].dataType.simpleString()
     schema = f"budget_id bigint, container_id bigint, key {kind}, piece_no bigint, n_tokens bigint"
