@@ -115,7 +115,8 @@ def score_table(
                 vectors.append(v / (np.linalg.norm(v) + 1e-9))
                 labels.append(k)
     protos /= np.linalg.norm(protos, axis=0) + 1e-9
-    protos -= protos.mean(axis=1, keepdims=True)
+    if len(langs) > 1:
+        protos -= protos.mean(axis=1, keepdims=True)
     protos /= np.linalg.norm(protos, axis=0) + 1e-9
     if vectors:
         h, y = np.array(vectors, dtype=np.float32), np.array(labels)
@@ -128,7 +129,7 @@ def score_table(
         for _ in range(epochs if len(y) else 0):
             scores = h @ protos
             own = scores[at, y].copy()
-            scores[at, y] = -9
+            scores[at, y] = -9 if len(langs) > 1 else own
             rival = scores.argmax(axis=1)
             weak = own - scores[at, rival] < 0.12
             for k in range(len(langs)):
@@ -169,7 +170,7 @@ def stretches(text: str, langs: list[str], table: np.ndarray, change: float) ->
     raw = np.array([table[g].sum(axis=0) if len(g) else np.zeros(len(langs)) for g in grams])
     heads = np.array([h for _, h in sents])
     weight = np.where(heads & (~heads).any(), 0.0, 1.0)
-    if not raw.any():
+    if not any(len(g) for g in grams):
         return []
     path = decode(raw * weight[:, None], change)
     if (weight == 0).any():  # a heading goes with what follows it, the last with what precedes it
