@@ -87,12 +87,14 @@ def swap_distance(a: str, b: str) -> int:
     return row[-1]
 
 
-def _swaps(a: str, b: str) -> Column:
+def _swaps(a: Column | str, b: Column | str) -> Column:
+    """``swap_distance`` of two columns; null where either is null."""
+
     @F.pandas_udf("int")
     def udf(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([swap_distance(p, q) for p, q in zip(x, y, strict=True)], dtype="int32")
+        return pd.Series([None if p is None or q is None else swap_distance(p, q) for p, q in zip(x, y, strict=True)], dtype="Int32")
 
-    return udf(F.col(a), F.col(b))
+    return udf(*(F.col(c) if isinstance(c, str) else c for c in (a, b)))
 
 
 def repair_tokens(tokens: DataFrame, vocabulary: DataFrame, least: float = 0.55) -> DataFrame:
@@ -111,13 +113,13 @@ def repair_tokens(tokens: DataFrame, vocabulary: DataFrame, least: float = 0.55)
     sim = 1 - edits / longest
     short = _is_abbreviation(F.col("token"), F.col("word"))
     scored = near.where(F.col("shared") >= need).withColumn("sim", F.when(short, F.greatest(sim, F.lit(0.8))).otherwise(sim))
-    clear = scored.where(F.col("sim") >= 0.8).select("token", "word", "sim")
     # Swaps count twice so far; words that may still be near share their letters, whatever the order.
     letters = F.size(F.array_intersect(F.split("token", ""), F.split("word", "")))
     same = letters >= 0.65 * F.size(F.array_distinct(F.split("word", "")))
-    unclear = scored.where((F.col("sim") < 0.8) & (F.col("sim") >= 0.3) & same & (F.abs(F.char_length("token") - F.char_length("word")) <= 3))
-    swapped = unclear.select("token", "word", (1 - _swaps("token", "word") / longest).alias("sim"))
-    return clear.unionByName(swapped).where(F.col("sim") >= least)
+    unclear = (F.col("sim") < 0.8) & (F.col("sim") >= 0.3) & same & (F.abs(F.char_length("token") - F.char_length("word")) <= 3)
+    asked = scored.where((F.col("sim") >= 0.8) | unclear).withColumn("asked", F.when(F.col("sim") < 0.8, F.col("token")))
+    swaps = _swaps("asked", "word")
+    return asked.withColumn("sim", F.coalesce(1 - swaps / longest, "sim")).where(F.col("sim") >= least).select("token", "word", "sim")
 
 
 def _rank(entries: list[tuple[int, list[str], str]], keep: int = 3):
