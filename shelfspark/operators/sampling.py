@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.session import cut_lineage, width
+
 PAIR = ["item_id_a", "item_id_b"]
 
 
@@ -30,14 +32,19 @@ def random_rows(df: DataFrame, n: int, key: list[str], seed: int = 0) -> DataFra
 def first_quartile(df: DataFrame, value: str) -> DataFrame:
     """(q1) by the exclusive method: the value at place (n + 1) / 4, interpolated; null for fewer than four values.
 
-    One row; ranks come from a window over the values, whose two rows next to the place are all that is kept.
+    Equal values are counted first; the distinct ones are ranked within range partitions, to which the counts of the
+    partitions before are added, so no task sees all values.
     """
     v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))  # equal values share a row before the one ordered window
-    upto = counts.withColumn("hi", F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-    n = v.agg(F.count(F.lit(1)).alias("n"))
+    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    ranged = cut_lineage(counts.repartitionByRange(width(df.sparkSession), "v").withColumn("pid", F.spark_partition_id()))
+    parts = ranged.groupBy("pid").agg(F.sum("c").alias("own"), F.min("v").alias("least"))  # one row per partition
+    before = F.sum("own").over(Window.partitionBy(F.lit(0)).orderBy("least").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = parts.select("pid", F.coalesce(before, F.lit(0)).alias("offset"), F.sum("own").over(Window.partitionBy(F.lit(0))).alias("n"))
+    within = F.sum("c").over(Window.partitionBy("pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = ranged.withColumn("within", within).join(F.broadcast(offsets), "pid").withColumn("hi", F.col("within") + F.col("offset"))
     place = (F.col("n") + 1) / 4.0
-    both = upto.crossJoin(F.broadcast(n)).withColumns({"j": F.floor(place), "g": place - F.floor(place)}).where("n >= 4")
+    both = ranked.withColumns({"j": F.floor(place), "g": place - F.floor(place)}).where("n >= 4")
     at = lambda k: F.min(F.when(F.col("hi") >= k, F.col("v")))
     out = both.agg(at(F.col("j")).alias("lo"), at(F.col("j") + 1).alias("up"), F.max("g").alias("g"))
     return out.select((F.col("lo") + (F.col("up") - F.col("lo")) * F.col("g")).alias("q1"))

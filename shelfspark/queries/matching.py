@@ -212,7 +212,7 @@ def parsed_responses(spark, sf_dir):
 
 def contract_violations(spark, sf_dir):
     m = table(spark, sf_dir, "matches_audit").where("item_id_b is not null").groupBy("item_id_a", "item_id_b", "decision", "reason").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.orderBy("item_id_a", "item_id_b", "decision", "reason")  # one row per pair of a small report
+    order = Window.partitionBy("item_id_a").orderBy("item_id_b", "decision", "reason")  # lines of an id, counted from 2
     pairs = m.withColumn("line_no", (F.row_number().over(order) + 1).cast("bigint"))
     ids = [match.quarantine(table(spark, sf_dir, t)).where("quarantine_reason is null").select("item_id") for t in ("mini_a", "mini_b")]
     return validate.violations(pairs, *ids).select("line_no", "kind", "item_id_a", "item_id_b", "expected")
@@ -331,7 +331,7 @@ SQL = {
     j as (select a.*, coalesce(same and c >= 0.85 and decision = 'below_threshold' and coalesce(item_id_b, '') <> '', false) as saved from {_AUDIT} a left join o using (item_id_a))
     select case when saved then 'llm_rescued' else source end as source, case when saved then 'accepted' else decision end as decision, case when saved then 'llm_rescue_' || reason else reason end as reason, count(*) as n from j group by all""",
     "pair_keys": f"""select distinct item_id_a, item_id_b, sha256(concat_ws('|', 'v1', 'none', coalesce(item_id_a, ''), coalesce(item_id_b, ''), coalesce(reason, ''), printf('%.4f', round(score::decimal(20, 10), 4)))) as cache_key from {_AUDIT} where score is not null""",
-    "contract_violations": f"""with m as (select *, row_number() over (order by item_id_a nulls first, item_id_b nulls first, decision nulls first, reason nulls first) + 1 as line_no from (select item_id_a, item_id_b, decision, reason from matches_audit where item_id_b is not null group by all)),
+    "contract_violations": f"""with m as (select *, row_number() over (partition by item_id_a order by item_id_b nulls first, decision nulls first, reason nulls first) + 1 as line_no from (select item_id_a, item_id_b, decision, reason from matches_audit where item_id_b is not null group by all)),
     r as (select m.*, row_number() over w as nth, first_value(item_id_b) over w as first_b, a.item_id is not null as in_a, b.item_id is not null as in_b from m left join {_VALID.format(t='mini_a')} a on a.item_id = item_id_a left join {_VALID.format(t='mini_b')} b on b.item_id = item_id_b window w as (partition by item_id_a order by line_no))
     select line_no, 'non_numeric_a' as kind, item_id_a, item_id_b, null::varchar as expected from r where not regexp_full_match(coalesce(item_id_a, ''), '[0-9]+')
     union all select line_no, 'unknown_a', item_id_a, item_id_b, null from r where regexp_full_match(coalesce(item_id_a, ''), '[0-9]+') and not in_a
