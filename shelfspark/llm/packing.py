@@ -111,11 +111,13 @@ def _slots(patterns: list[Pattern], first: int) -> dict[int, tuple[np.ndarray, n
     return {k: tuple(np.array(x) for x in zip(*v, strict=True)) for k, v in out.items()}
 
 
-def pack(lengths: DataFrame, budgets: list[tuple[int, int]], salts: int = 64) -> DataFrame:
+def pack(lengths: DataFrame, budgets: list[tuple[int, int]], salts: int | None = None) -> DataFrame:
     """(budget_id, container_id, key, piece_no, n_tokens) of every item in every budget.
 
     ``lengths``: (key, n_tokens), keys unique; ``budgets``: (id, capacity). Container ids count from 1 in each budget.
+    ``salts``: parts of each length that are ranked apart; by default one per half million items, 64 at least.
     """
+    salts = salts or max(64, lengths.count() // 500_000)
     if any(c <= 0 for _, c in budgets):
         raise ValueError("a capacity must be positive")
     spark = lengths.sparkSession

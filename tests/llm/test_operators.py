@@ -101,7 +101,9 @@ A_ROWS = [
 B_ROWS = [(21, "Acme Plumly Cola, Mint", None, "{'size_user_friendly': '1/2 l'}", None), (22, "Zeta Farms Oat Bar", "Zeta Farms", '{"size_user_friendly":"142 g"}', None), (23, "Zeta Farms Rye Bar", None, '{"size_user_friendly":"5 oz"}', None)]
 
 
-def test_products_and_matches(spark, brands):
+@pytest.mark.parametrize("most", [products.MOST_SENT, 0])
+def test_products_and_matches(spark, brands, monkeypatch, most):
+    monkeypatch.setattr(products, "MOST_SENT", most)  # beyond the bound the same by shuffle
     both = products.catalogue(listings(spark, A_ROWS), listings(spark, B_ROWS))
     forms = products.forms(both, brands)
     ids = products.product_ids(forms)
@@ -115,6 +117,12 @@ def test_products_and_matches(spark, brands):
     assert set(got) == {(1, 21), (2, 21), (4, 21), (8, 22), (9, 22)} and all(0.5 <= p <= 1 for p in got.values())
 
 
+def test_many_copies_and_long_titles(spark, brands):
+    rows = [(i, "Acme Plumly Mint Cola, 500 ml", None, None, None) for i in range(1, 60)] + [(100, "word " + " ".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100 % 6]}" for i in range(600)), None, None, None), (101, "x" * 5000, None, None, None)]
+    ids = products.product_ids(products.forms(products.catalogue(listings(spark, rows), listings(spark, [])), brands)).collect()
+    assert {r["row_ord"]: r["product"] for r in ids} == {**{i: 1 for i in range(1, 60)}, 100: 100, 101: 101}
+
+
 def test_empty_catalogues(spark, brands):
     none = listings(spark, []).limit(0)
     forms = products.forms(products.catalogue(none, none), brands)
