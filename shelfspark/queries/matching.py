@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfspark.operators import arbiter, calibrate, retrieval, sampling, scoring, validate
+from shelfspark.operators import arbiter, calibrate, probe, retrieval, sampling, scoring, validate
 from shelfspark.plans import match
 from shelfspark.queries.catalogue import _json
 from shelfspark.session import table
@@ -54,6 +54,43 @@ def bm25_topk(spark, sf_dir):
     return got.select(F.col("a").alias("item_id"), F.col("b").alias("doc_id"), F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 
+PROBES = ["mint cola", "organic greek yogurt", "ocean mist hand soap", "zzz"]
+
+
+def _probes(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(PROBES)), "k bigint, text string")
+
+
+def probe_topk(spark, sf_dir):
+    """Fixed probes against the names of B by the probe's TF-IDF."""
+    docs = table(spark, sf_dir, "mini_b").where("name is not null").select(F.col("row_ord").alias("k"), F.lower("name").alias("text"))
+    got = probe.probe_top_k(_probes(spark), docs, "k", "k", "text", 5)
+    return got.select(F.col("a").alias("probe_id"), F.col("b").alias("row_ord"), F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+
+
+def probe_texts(spark, sf_dir):
+    _json(spark)
+    rows = table(spark, sf_dir, "mini_b")
+    both = probe.probe_text(probe.probe_text(rows, "B", out="with_brand"), "B", "suppress_private_label", "without_labels")
+    return both.select("row_ord", "with_brand", "without_labels")
+
+
+def name_groups(spark, sf_dir):
+    """Duplicate-like names of B once sizes and brands are off."""
+    rows = table(spark, sf_dir, "mini_b").where("name is not null")
+    brand = F.coalesce(F.lower(F.trim("brand_raw")), F.lit(""))
+    return rows.select(probe.name_group(F.col("name"), brand).alias("title")).groupBy("title").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def match_trace(spark, sf_dir):
+    """All candidates of the A record with the least id, rejected ones too."""
+    _json(spark)
+    a, b = table(spark, sf_dir, "mini_a"), table(spark, sf_dir, "mini_b")
+    first = match.quarantine(a).where("quarantine_reason is null").agg(F.min("item_id").alias("i")).first()["i"]
+    got = probe.trace(a, b, first or "")
+    return got.select(F.col("a_id").alias("item_id_a"), F.col("b_id").alias("item_id_b"), "rank", "rejection", F.round("total", 6).alias("total"))
+
+
 def idf_terms(spark, sf_dir):
     docs = _low(table(spark, sf_dir, "documents"), "doc_id")
     t = retrieval.term_table(docs, "k", "text", {"word": retrieval.words(F.col("text"))})
@@ -219,7 +256,7 @@ def contract_violations(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    tfidf_topk, tfidf_bigram_topk, letter_gram_topk, blocked_topk, bm25_topk, idf_terms, token_overlap, select_best, match_run, match_counters, decision_shares,
+    tfidf_topk, tfidf_bigram_topk, letter_gram_topk, blocked_topk, bm25_topk, probe_topk, probe_texts, name_groups, match_trace, idf_terms, token_overlap, select_best, match_run, match_counters, decision_shares,
     reason_counts, threshold_grid, score_buckets, group_precision, cumulative_precision, first_quartile, bottom_quarter, near_miss, round_robin,
     round_robin_shuffled, random_rows, pinned_last, required_rows, annotation_merge, cache_latest, arbitration_plan, rescue, pair_keys, parsed_responses,
     contract_violations,
@@ -264,7 +301,21 @@ _BORDER = "(select item_id_a, max(score) as score, min(reason) as grp from match
 _AUDIT = "(select distinct * from matches_audit)"
 _VALID = "(select item_id from {t} where regexp_full_match(coalesce(item_id, ''), '[0-9]+') and not regexp_full_match(coalesce(name, ''), '[\\s\\x{{000B}}\\x{{0085}}\\p{{Z}}]*') group by item_id)"
 
+_PROBES = " union all ".join(f"select {i} as k, '{t}' as text" for i, t in enumerate(PROBES))
 SQL = {
+    "probe_topk": f"""with a0 as ({_PROBES}), b0 as (select row_ord as k, lower(name) as text from mini_b where name is not null), n as (select count(*) as n from b0),
+    a1 as (select k, text, {_WORDS} as w from a0), b1 as (select k, text, {_WORDS} as w from b0),
+    ag as (select k, 'w' as sp, unnest({_BIGRAMS}) as term from a1 union all select k, 'l', unnest({_LETTERS}) from a1), bg as (select k, 'w' as sp, unnest({_BIGRAMS}) as term from b1 union all select k, 'l', unnest({_LETTERS}) from b1),
+    ac as (select k, sp, term, count(*) as tf from ag group by all), bc as (select k, sp, term, count(*) as tf from bg group by all),
+    d as (select sp, term, count(*) as df, sum(tf) as total from bc group by all), r as (select *, row_number() over (partition by sp order by total desc, term) as nth from d where sp = 'w' or df >= 2),
+    idf as (select sp, term, ln((1 + n) / (1 + df)) + 1 as idf from r, n where (sp = 'w' and df <= 0.95 * n) or (sp = 'l' and nth <= 250000)),
+    aw as (select k, sp, term, (1 + ln(tf)) * idf as v from ac join idf using (sp, term)), bw as (select k, sp, term, (1 + ln(tf)) * idf as v from bc join idf using (sp, term)),
+    an as (select k, sqrt(sum(v * v)) as s from aw group by k), bn as (select k, sqrt(sum(v * v)) as s from bw group by k),
+    p as (select aw.k as a, bw.k as b, sum(aw.v * bw.v) as dot from aw join bw using (sp, term) group by 1, 2),
+    s as (select a, b, dot / an.s / bn.s as score from p join an on an.k = a join bn on bn.k = b),
+    f as (select a, b, score from s union all select a0.k, b0.k, 0 from a0, b0 where not exists (select 1 from s where s.a = a0.k and s.b = b0.k)),
+    q as (select *, row_number() over (partition by a order by round(score, 12) desc, b::varchar) as rank from f)
+    select a as probe_id, b as row_ord, round(score, 6) as score, rank from q where rank <= 5""",
     "tfidf_topk": _tfidf(_EVAL, _DOCS, _WORDS, 5, "item_id", "doc_id"),
     "tfidf_bigram_topk": _tfidf(f"select *, {_WORDS} as w from ({_EVAL})", f"select *, {_WORDS} as w from ({_DOCS})", _BIGRAMS, 5, "item_id", "doc_id"),
     "letter_gram_topk": _tfidf("select brand_id as k, lower(brand_name) as text from brand_list", "select row_ord as k, lower(name) as text from mini_b where name is not null", _LETTERS, 3, "brand_id", "row_ord"),
