@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.functions.text import is_numeric_id
@@ -28,14 +28,15 @@ def violations(pairs: DataFrame, ids_a: DataFrame, ids_b: DataFrame, required: d
     """
     known_a = ids_a.select(F.col("item_id").alias("item_id_a")).distinct().withColumn("in_a", F.lit(True))
     known_b = ids_b.select(F.col("item_id").alias("item_id_b")).distinct().withColumn("in_b", F.lit(True))
-    order = Window.partitionBy("item_id_a").orderBy("line_no")
-    rows = pairs.withColumns({"nth": F.row_number().over(order), "first_b": F.first("item_id_b").over(order)})
+    # The first line of an id by a grouped minimum, not a window: an id that fills a third of the file stays spread.
+    first = pairs.groupBy("item_id_a").agg(F.min("line_no").alias("first_line"), F.min_by("item_id_b", "line_no").alias("first_b"))
+    rows = pairs.join(first, pairs["item_id_a"].eqNullSafe(first["item_id_a"]), "left").drop(first["item_id_a"])
     rows = rows.join(known_a, "item_id_a", "left").join(known_b, "item_id_b", "left")
     num_a, num_b = is_numeric_id(F.col("item_id_a")), is_numeric_id(F.col("item_id_b"))
     kinds = F.array_compact(F.array(
         F.when(~num_a, F.lit("non_numeric_a")).when(F.col("in_a").isNull(), F.lit("unknown_a")),
         F.when(~num_b, F.lit("non_numeric_b")).when(F.col("in_b").isNull(), F.lit("unknown_b")),
-        F.when(F.col("nth") > 1, F.lit("duplicate_a")),
+        F.when(F.col("line_no") > F.col("first_line"), F.lit("duplicate_a")),
     ))
     found = rows.select("line_no", F.explode(kinds).alias("kind"), "item_id_a", "item_id_b", "first_b")
     out = found.select("line_no", "kind", "item_id_a", "item_id_b", F.when(F.col("kind") == "duplicate_a", F.col("first_b")).alias("expected"))
