@@ -159,9 +159,13 @@ class Items:
 
 
 def find_leaks(
-    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", least_hit: float = 0.15, share: float = 0.5
+    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", least_hit: float = 0.15, share: float = 0.5, density: float = 0.85
 ) -> DataFrame:
-    """(doc_id, item_id, n_words, covered, matched) of documents that repeat at least ``share`` of an item's words."""
+    """(doc_id, item_id, n_words, covered, matched) of documents that repeat at least ``share`` of an item's words.
+
+    Of the words that a stretch covers at least ``density`` must match: a text of the same frame with other words in
+    every gap is no leak.
+    """
     eval_rows = items.where(F.col(text).isNotNull()).select(F.col(item_id).alias("i"), F.col(text).alias("t"))
     size = eval_rows.select(F.sum(F.size(F.split("t", r"\s+")) * len(MASKS)).alias("n")).first()["n"] or 0
     src = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("d"), F.col(text).alias("t"))
@@ -190,7 +194,7 @@ def find_leaks(
                 yield pd.DataFrame(out, columns=[doc_id, item_id, "n_words", "covered", "matched"]).astype("int64")
 
         got = pairs.join(eval_rows.withColumnRenamed("t", "e"), "i").join(src, "d").mapInPandas(verify, schema)
-    return got.where((F.col("covered") >= share * F.col("n_words")) & (F.col("matched") >= 0.95 * share * F.col("n_words")))
+    return got.where((F.col("matched") >= share * F.col("n_words")) & (F.col("matched") >= density * F.col("covered")))
 
 
 def _seed_rows(df: DataFrame) -> DataFrame:
