@@ -266,6 +266,20 @@ SQL = {
         {_unit_sql(_part('name', sizes.PLAIN, 2))} as u, {_part('name', sizes.PLAIN, 1)} as s from {_BOTH})
         select row_ord, coalesce(pu, u) as unit, case when pu is not null then ps else s end::double as unit_size, case when pu is not null then pn::int else 1 end as pack_count,
         round(case when pu is not null then pn::int * ps::double else s::double end, 6) as total_size from p where coalesce(pu, u) is not null""",
+    "sizes_of_rows": f"""with r as (select 'A' as src, row_ord, {_strip("coalesce(name, '')")} as s, sizing_comp from mini_a union all select 'B', row_ord, '', sizing_comp from mini_b),
+        t as (select src, row_ord, coalesce({_part('s', sizes.PACK_HEAD, 1)}::int, 1) as packs, {_strip(f"regexp_replace(s, {_q(sizes.PACK_HEAD)}, '')")} as rest,
+          case when json_type({_obj('sizing_comp')}, '$.size_user_friendly') = 'VARCHAR' then json_extract_string({_obj('sizing_comp')}, '$.size_user_friendly') end as c from r),
+        u as (select *, {_unit_sql(_part('rest', sizes.PLAIN, 2))} as nu, {_part('rest', sizes.PLAIN, 1)}::double as nn, {_unit_sql(_part('c', sizes.PACK_OF, 3))} as pu, {_part('c', sizes.PACK_OF, 2)}::double as pn,
+          {_part('c', sizes.PACK_OF, 1)}::int as pp, {_unit_sql(_part('c', sizes.PLAIN, 2))} as cu, {_part('c', sizes.PLAIN, 1)}::double as cn from t),
+        v as (select row_ord, case when nu is not null then nu else coalesce(pu, cu) end as unit, case when nu is not null then nn when pu is not null then pn when cu is not null then cn end as unit_size,
+          case when nu is not null then packs when pu is not null and pp <> 1 then pp else packs end as pack_count from u),
+        f as (select *, {"case unit " + " ".join(f"when '{k}' then '{x}'" for k, (x, _) in sizes.FAMILIES.items()) + " end"} as family, {"case unit " + " ".join(f"when '{k}' then {x}" for k, (_, x) in sizes.FAMILIES.items()) + " end"} as factor from v)
+        select row_ord, unit, unit_size, pack_count, case when unit_size is not null then family end as family, round(pack_count * unit_size * factor::double, 6) as base_value from f""",
+    "tag_stats": """with t as (select trim(tags) as s, len(list_filter(string_split(case when left(trim(tags), 1) in ('{', '[') then regexp_replace(regexp_replace(trim(tags), '^[\\[{]', ''), '[\\]}]$', '') else coalesce(tags, '') end, ','),
+          lambda x: trim(x, ' "''') <> '')) as n from mini_b)
+        select count(*) filter (n > 0) as non_empty, count(*) filter (n > 0 and s like '{%') as brace_style, count(*) filter (n > 0 and s like '[%') as bracket_style from t""",
+    "article_numbers": f"""with v as (select json_extract_string({_obj('item_info')}, '$.ic_item_id') as v from {_BOTH})
+        select 'upc' as key, count(*) as n_values, count(*) filter (regexp_full_match(trim(v), '[0-9]{{8,14}}')) as n_plausible from v where not {_missing('v')} having count(*) > 0""",
     "pattern_counters": f"""select count(*) as n_rows, count(*) filter (regexp_matches(name, {_q(profile.PACK_HEAD)})) as pack_heads, count(*) filter (regexp_matches(name, {_q(profile.MULTIPACK)})) as multipacks,
         count(*) filter (regexp_matches(name, {_q(profile.DIMENSION)})) as dimensions, count(*) filter (regexp_matches(description, {_q(profile.MARKUP)})) as markup,
         count(*) filter (not {_missing('description')}) as descriptions from {_BOTH}""",
