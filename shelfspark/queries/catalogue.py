@@ -139,10 +139,15 @@ def normalized_rows(spark, sf_dir):
 
 
 def known_brands(spark, sf_dir):
-    """The listed brand (of the first 200 by id, a literal table) that a name begins with."""
-    names = [r["brand_name"].lower() for r in table(spark, sf_dir, "brand_list").orderBy("brand_id").limit(200).collect()]
+    """The listed brand that a name begins with, the longest of these; beginnings of names are joined to the whole list."""
+    listed = table(spark, sf_dir, "brand_list").select(F.lower(F.trim("brand_name")).alias("brand")).where("brand <> ''").distinct()
+    most = listed.agg(F.max(F.size(F.split("brand", " ")))).first()[0] or 1
+    words = F.split(tx.prefix_text(F.col("name")), " ")
+    starts = F.transform(F.sequence(F.lit(1), F.least(F.size(words), F.lit(most))), lambda n: F.array_join(F.slice(words, 1, n), " "))
     r = _both(spark, sf_dir, "name").where("name is not null")
-    return r.select("row_ord", attrs.brand_of_name(F.col("name"), labels=("great value",), brands=tuple(names)).alias("brand")).where("brand is not null")
+    own = r.select("row_ord", attrs.brand_of_name(F.col("name"), labels=("great value",)).alias("brand")).where("brand is not null")
+    found = r.select("row_ord", F.explode(starts).alias("brand")).join(listed, "brand").groupBy("row_ord").agg(F.max_by("brand", F.char_length("brand")).alias("brand"))
+    return own.unionByName(found.join(own, "row_ord", "left_anti"))
 
 
 def duplicate_ids(spark, sf_dir):
