@@ -196,7 +196,7 @@ def pinned_last(spark, sf_dir):
 
 
 def required_rows(spark, sf_dir):
-    wanted = table(spark, sf_dir, "mini_a").where("row_ord <= 300").select(F.col("item_id").alias("item_id_a")).where("item_id_a is not null")
+    wanted = table(spark, sf_dir, "mini_a").select(F.col("item_id").alias("item_id_a")).where("item_id_a is not null")
     return sampling.with_absent(_audit(spark, sf_dir), wanted).select("item_id_a", "item_id_b", "decision", "reason")
 
 
