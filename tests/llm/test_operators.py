@@ -142,6 +142,15 @@ def test_best_combination_is_the_same_for_equal_forms(spark):
     assert len(got) == 3 and all(set(c.split()) <= set(f.split()) for f, c in got.items())
 
 
+def test_an_added_rare_word_and_an_unknown_content_can_match(spark):
+    """A common added word names a variety; a rare one beside a rare line word does not, nor does a content that one side lacks."""
+    many = [(100 + i, "A", "b", ["common", "mint", "".join(chr(97 + i // 26**k % 26) for k in range(4))], "g", 90.0, 1) for i in range(2000)]
+    pairs = [("quill", ["quill"], ["quill", "zesty"], 5.0, 5.0), ("brim", ["brim"], ["brim", "mint"], 6.0, 6.0), ("dorn", ["dorn"], ["dorn"], None, 7.0), ("ferd", ["ferd"], ["ferd", "organic"], 8.0, 8.0)]
+    rows = [(10 * k + j, "AB"[j], "b", [*toks, "common"], "g" if c else None, c, 1) for k, (_, x, y, cx, cy) in enumerate(pairs, start=1) for j, (toks, c) in enumerate([(x, cx), (y, cy)])]
+    df = spark.createDataFrame([*many, *rows], "row_ord bigint, source string, brand string, tokens array<string>, base string, content double, packs int")
+    assert {(r["row_lo"], r["row_hi"]) for r in matching.match(df).collect()} == {(10, 11), (30, 31)}
+
+
 def test_marginals_against_enumeration(spark):
     """Loopy propagation on a tree is exact: compare with all matchings of a small one."""
     w = {("a", "x"): 3.0, ("a", "y"): 1.0, ("b", "y"): 2.0}
