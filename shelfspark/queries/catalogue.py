@@ -293,7 +293,7 @@ SQL = {
         select row_ord, {_squeeze(f"regexp_replace(regexp_replace(regexp_replace(t, {_q(sizes.PLAIN)}, '', 'g'), {_q(rf'\b(?:{attrs.CONTAINER_WORDS})\b')}, '', 'g'), '[,;.]+', ' ', 'g')")} as core_name from u""",
     "attributes_of_names": f"""select row_ord, {_FIRST('name', attrs.STORAGE_WORDS)} as storage, {_FIRST('name', attrs.FORM_WORDS)} as form, {_FIRST('name', attrs.FLAVOR_WORDS)} as flavor,
         contains(lower(name), 'organic') as organic from {_BOTH} where name is not null""",
-    "known_brands": f"""with l as (select lower(brand_name) as b from brand_list order by brand_id limit 200), p as (select row_ord, {_squeeze("translate(lower(name), '-''', '  ')")} as t from {_BOTH} where name is not null)
+    "known_brands": f"""with l as (select lower(brand_name) as b from brand_list), p as (select row_ord, {_squeeze("translate(lower(name), '-''', '  ')")} as t from {_BOTH} where name is not null)
         select row_ord, arg_max(b, length(b)) as brand from p join l on t = b or starts_with(t, b || ' ') group by row_ord""",
     "duplicate_ids": f"select item_id, count(*) - 1 as repeats from {_BOTH} group by item_id having count(*) > 1",
     "duplicate_groups": f"""with r as (select lower({_squeeze('brand_raw')}) as brand, {_squeeze('lower(name)')} as title, item_id, row_ord from {_BOTH} where name is not null and brand_raw is not null)

@@ -369,7 +369,7 @@ SQL = {
     r as (select m.*, row_number() over (partition by item_id_a, item_id_b order by retrieval_score nulls first, decision nulls first) as n from m where not exists (select 1 from pin where pin.item_id_a = m.item_id_a and pin.item_id_b = m.item_id_b))
     select item_id_a, item_id_b, decision from r where n = 1 union all select item_id_a, item_id_b, decision from pin""",
     "required_rows": f"""select w.item_id_a, item_id_b, coalesce(decision, 'absent_from_audit') as decision, case when decision is null then 'absent_from_audit' else reason end as reason
-    from (select distinct item_id as item_id_a from mini_a where row_ord <= 300 and item_id is not null) w left join {_AUDIT} a on a.item_id_a = w.item_id_a""",
+    from (select distinct item_id as item_id_a from mini_a where item_id is not null) w left join {_AUDIT} a on a.item_id_a = w.item_id_a""",
     "annotation_merge": """with m as (select distinct item_id_a, item_id_b from matches_audit where item_id_b is not null)
     select item_id_a, item_id_b, case when item_id_a < '22' then 'correct' else '' end as label, case when item_id_b > '7005' then 'seen' else 'old' end as notes, item_id_a < '22' or item_id_b > '7005' as merged from m""",
     "cache_latest": """select cache_key, o.same_product_for_customer as same, round(o.confidence, 6) as confidence from (select cache_key, arg_max(opinion, row(meta['ts'], opinion.confidence, opinion.reason)) as o from arbiter_cache
