@@ -1,24 +1,32 @@
-r"""Listings of the same product: title combination voting, and matching two sources by belief propagation.
+r"""Listings of the same product: title combination voting.
 
 Reading a listing: the title's words are repaired against the more frequent words of the collection (an equi-join
 on deletion variants), brands are taken from a canonical list, from spellings that many rows share, or from the
-title; amounts come from the title or the size cell. What is left is a *form*: a set of canonical tokens with a
-brand, a content and a number of packs.
-
-Voting: every distinct form proposes the k-combinations of its tokens. A combination's score grows with its
-frequency over all titles and its length and falls with its average position; each form joins the cluster of its
-best combination. Verification splits a cluster by brand, packs, content (3 %) and remaining tokens; merging
-brings a form whose one rare word is a slip of another form's word to that form.
+title; amounts come from the title or the size cell. What is left is a *form*: a set of tokens with a brand, a
+content and a number of packs.
+
+1. *Voting.* Every distinct form proposes the k-combinations of its tokens. A combination's score grows with its
+   frequency over all titles and its length and falls with its average position; each form joins the cluster of its
+   best combination.
+2. *What says nothing* is learnt inside the clusters: a run of words whose removal turns a form into another form of
+   the same cluster, packs and content, often and with several brands, is advertising. A form whose best combination
+   holds advertising takes its next best.
+3. *Verification* splits a cluster by packs, content (3 %) and remaining tokens. Inside a cluster, whose combination
+   vouches for its members, a rare word that is near a more frequent one is its slip.
+4. *Merging* joins clusters that a slip inside the combination drove apart: forms that agree in all but one word,
+   that word rare and one edit away.
 
 A listing with a null or empty title takes part with its attributes only; without any token it has no partner.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,12 +34,7 @@ from shelfspark.llm import canonical, titles
 from shelfspark.operators import quantities
 from shelfspark.session import cut_lineage, plain, spread, width
 
-#: Most entries of a table that is sent to the workers; larger ones are joined by shuffle or refused.
-MOST_SENT = 200_000
-
-
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= MOST_SENT else df
+_small = canonical.small
 
 
 def _read(df: DataFrame) -> DataFrame:
@@ -49,29 +52,20 @@ def _read(df: DataFrame) -> DataFrame:
                 base, content, packs = got[0][:3] if got else (None, None, 1)
                 if got and packs == 1:  # a pack that the other statement alone has
                     packs = max([packs, *(r[2] for r in other if r[0] == base and abs(r[1] / content - 1) <= 0.03 and r[3] < 1)])
-                rows.append((titles.words(title), titles.attributes(info), base, content, packs))
-            out = pd.DataFrame(rows, columns=["words", "attrs", "base", "content", "packs"])
+                rows.append((titles.words(title), *titles.attributes(info), base, content, packs))
+            out = pd.DataFrame(rows, columns=["words", "attrs", "level", "base", "content", "packs"])
             yield plain(pd.concat([pdf[["row_ord", "source", "brand_raw"]].reset_index(drop=True), out], axis=1))
 
-    schema = "row_ord bigint, source string, brand_raw string, words array<string>, attrs array<string>, base string, content double, packs int"
+    schema = "row_ord bigint, source string, brand_raw string, words array<string>, attrs array<string>, level string, base string, content double, packs int"
     return spread(df.select("row_ord", "source", "brand_raw", "name", "sizing_comp", "item_info")).mapInPandas(run, schema)
 
 
 def _variants(col: Column) -> Column:
-    """A word and what is left of it after taking out one letter (two if it has seven or more)."""
+    """Deletion variants of a word: one letter taken out, two if it has seven or more."""
 
     @F.pandas_udf("array<string>")
     def udf(s: pd.Series) -> pd.Series:
-        def of(w: str) -> list[str]:
-            out = {w}
-            for i in range(len(w)):
-                v = w[:i] + w[i + 1 :]
-                out.add(v)
-                if len(w) >= 7:
-                    out.update(v[:j] + v[j + 1 :] for j in range(i, len(v)))
-            return sorted(out)
-
-        return s.map(of)
+        return s.map(lambda w: sorted(canonical.deletions(w, 2 if len(w) >= 7 else 1, prefix=16)))
 
     return udf(col)
 
@@ -80,10 +74,9 @@ def word_repairs(words: DataFrame, ratio: int = 10, far_ratio: int = 100, least:
     """(word, better): for each slip of the pen the frequent word that is meant.
 
     ``words``: one row per occurrence, column ``word``. A word is repaired to one at least ``ratio`` times as
-    frequent at distance 1, or ``far_ratio`` times at distance 2 (neighbour swaps count once). Words of more than 24
-    letters stay as they are: their deletion variants grow as the square of the length.
+    frequent at distance 1, or ``far_ratio`` times at distance 2 (neighbour swaps count once).
     """
-    counts = cut_lineage(words.where("length(word) between 4 and 24").groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    counts = cut_lineage(words.where("length(word) >= 4").groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     spread_out = counts.repartition(width(words.sparkSession), "word")
     keyed = spread_out.select("word", "n", F.explode(_variants(F.col("word"))).alias("v"))
     rare = keyed.select(F.col("word").alias("a"), F.col("n").alias("na"), "v")
@@ -103,10 +96,6 @@ def _repaired(read: DataFrame) -> DataFrame:
     return read.join(fixes, "row_ord", "left").withColumn("words", F.when(F.col("fixes").isNull(), F.col("words")).otherwise(fixed)).drop("fixes")
 
 
-def df_of(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
-    return like.sparkSession.createDataFrame(rows, schema)
-
-
 def _brand_keys(read: DataFrame, brands: DataFrame, support: int = 3) -> tuple[DataFrame, DataFrame]:
     """(brand_raw, brand_key) of typed brands, and (gram, brand) to look for in titles: listed brands and spellings of many rows."""
     values = read.select("brand_raw").where(F.col("brand_raw").rlike(r"(?U)\S"))
@@ -118,17 +107,17 @@ def _brand_keys(read: DataFrame, brands: DataFrame, support: int = 3) -> tuple[D
     filler = F.lower(F.trim("brand_raw")).isin(*sorted(canonical.FILLERS)) | (F.col("folded") == "")
     counts = values.groupBy("brand_raw").agg(F.count(F.lit(1)).alias("n"))
     own = typed.where(F.col("entry_id").isNull() & ~filler).join(counts, "brand_raw").groupBy("folded").agg(F.sum("n").alias("n"))
-    own = own.where((F.col("n") >= support) & (F.size(F.split("folded", " ")) <= 5)).select("folded")
-    listed = [(" ".join(t), str(r["brand_id"])) for r in brands.select("brand_id", "brand_name").where("brand_name is not null").limit(canonical.MOST_ENTRIES).collect() if (t := canonical.tokens_of(r["brand_name"])[0])]
-    known = df_of(read, listed, "gram string, brand string")
-    learnt = own.select(F.col("folded").alias("gram"), F.concat(F.lit("="), "folded").alias("brand")).join(F.broadcast(known), "gram", "left_anti")
+    own = own.where(F.col("n") >= support).select("folded")
+    names = brands.where("brand_name is not null").select(F.col("brand_id").cast("string").alias("brand"), canonical._tokens(F.col("brand_name")).alias("t"))
+    known = names.select(F.array_join("t.tokens", " ").alias("gram"), "brand").where("gram <> ''").groupBy("gram").agg(F.min("brand").alias("brand"))
+    learnt = own.select(F.col("folded").alias("gram"), F.concat(F.lit("="), "folded").alias("brand")).join(known, "gram", "left_anti")
     book = cut_lineage(known.unionByName(learnt))
     key = F.when(F.col("entry_id").isNotNull(), F.col("entry_id").cast("string")).when(~filler, F.concat(F.lit("="), "folded"))
     return typed.select("brand_raw", key.alias("brand_key")).where("brand_key is not null"), book
 
 
 def forms(df: DataFrame, brands: DataFrame) -> DataFrame:
-    """(row_ord, source, brand, tokens, base, content, packs) of every listing.
+    """(row_ord, source, level, brand, tokens, base, content, packs) of every listing; ``level`` is its category path.
 
     ``df``: row_ord (unique), source (A or B), name, brand_raw, sizing_comp, item_info; ``brands``: brand_id, brand_name.
     """
@@ -139,19 +128,20 @@ def forms(df: DataFrame, brands: DataFrame) -> DataFrame:
     key = F.coalesce(F.col("brand_raw"), F.concat(F.lit("\x00"), F.col("row_ord").cast("string")))
     rows = _repaired(read).withColumn("brand_raw", key).join(_small(typed, typed.count()), "brand_raw", "left")
     rows = rows.withColumn("toks", _canonical(F.col("words")))
-    # The longest brand that stands in the title, the first of these. Beyond what may be sent, the same by a join on word runs.
-    if book.count() <= MOST_SENT:
-        rows = rows.withColumn("hit", _find_brand(F.col("toks"), {r["gram"]: r["brand"] for r in book.collect()}))
+    # The longest brand that stands in the title, the first of these: in the worker while the book may be sent, else by a join on word runs.
+    if book.count() <= canonical.MOST_SENT:
+        rows = rows.withColumn("hit", _find_brand(F.col("toks"), df.sparkSession.sparkContext.broadcast({r["gram"]: r["brand"] for r in book.collect()})))
     else:
+        most = book.agg(F.max(F.size(F.split("gram", " ")))).first()[0]
         starts = F.sequence(F.lit(1), F.size("toks"))
-        runs = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.size("toks"), F.lit(5))), lambda n: F.transform(starts, lambda i: F.struct(n.alias("n"), i.alias("i"), F.array_join(F.slice("toks", i, n), " ").alias("gram")))))
+        runs = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.size("toks"), F.lit(most))), lambda n: F.transform(starts, lambda i: F.struct(n.alias("n"), i.alias("i"), F.array_join(F.slice("toks", i, n), " ").alias("gram")))))
         each = rows.where("size(toks) > 0").select("row_ord", F.inline(runs)).where(F.size(F.split("gram", " ")) == F.col("n"))
         found = each.join(book, "gram").groupBy("row_ord").agg(F.max_by(F.struct("i", "n", "brand"), F.struct("n", -F.col("i"))).alias("hit"))
         rows = rows.join(found, "row_ord", "left")
     i, n = F.col("hit.i"), F.col("hit.n")
     rest = F.when(i.isNull(), F.col("toks")).otherwise(F.filter("toks", lambda t, k: (k + 1 < i) | (k + 1 >= i + n)))
     return cut_lineage(rows.select(
-        "row_ord", "source", "base", "content", "packs", F.coalesce("hit.brand", "brand_key").alias("brand"), F.array_distinct(F.concat(rest, "attrs")).alias("tokens")
+        "row_ord", "source", "level", "base", "content", "packs", F.coalesce("hit.brand", "brand_key").alias("brand"), F.array_distinct(F.concat(rest, "attrs")).alias("tokens")
     ))
 
 
@@ -163,19 +153,19 @@ def _canonical(words: Column) -> Column:
     return udf(words)
 
 
-def _find_brand(toks: Column, book: dict[str, str]) -> Column:
+def _find_brand(toks: Column, book: Broadcast) -> Column:
     """Struct of place (from 1), length and brand of the longest run of words that is a brand, the first of equals."""
-    longest = max((k.count(" ") + 1 for k in book), default=0)
+    longest = max((k.count(" ") + 1 for k in book.value), default=0)
 
     @F.pandas_udf("i int, n int, brand string")
     def udf(s: pd.Series) -> pd.DataFrame:
-        out = []
+        known, out = book.value, []
         for t in s:
             got = (None, None, None)
             for n in range(min(longest, len(t)), 0, -1):
-                at = next((i for i in range(len(t) - n + 1) if " ".join(t[i : i + n]) in book), None)
+                at = next((i for i in range(len(t) - n + 1) if " ".join(t[i : i + n]) in known), None)
                 if at is not None:
-                    got = (at + 1, n, book[" ".join(t[at : at + n])])
+                    got = (at + 1, n, known[" ".join(t[at : at + n])])
                     break
             out.append(got)
         return plain(pd.DataFrame(out, columns=["i", "n", "brand"]).astype({"i": "Int32", "n": "Int32"}))
@@ -183,18 +173,35 @@ def _find_brand(toks: Column, book: dict[str, str]) -> Column:
     return udf(toks)
 
 
-def vote(rows: DataFrame, ks: tuple[int, ...] = (2, 3), most_tokens: int = 12) -> DataFrame:
-    """(brand, form, combination): the best token combination of every distinct form.
+def _form(tokens: Column | str) -> Column:
+    return F.array_join(F.array_sort(tokens), " ")
+
+
+def ballots(rows: DataFrame, most_tokens: int = 60) -> DataFrame:
+    """(brand, form, fid, n, tokens) of every distinct form: what votes.
 
-    A form is its sorted tokens as one string. Positions are averaged over all titles with the combination. Forms
-    with more than ``most_tokens`` tokens vote with consecutive combinations only, so no form is left out.
+    A form is its sorted tokens as one string. A title of more than ``most_tokens`` different tokens votes with those
+    that most forms have, so that it can meet its shorter rivals.
     """
-    if not ks or min(ks) < 1 or max(ks) > 3:
-        raise ValueError("combinations have one to three tokens")
-    form = F.array_join(F.array_sort("tokens"), " ")
     brand = F.coalesce("brand", F.lit("")).alias("brand")
-    distinct = rows.where("size(tokens) > 0").groupBy(brand, form.alias("form")).agg(F.count(F.lit(1)).alias("n"), F.first("tokens").alias("tokens"))
+    distinct = rows.where("size(tokens) > 0").groupBy(brand, _form("tokens").alias("form")).agg(F.count(F.lit(1)).alias("n"), F.min("tokens").alias("tokens"))
     distinct = cut_lineage(distinct.withColumn("fid", F.xxhash64("brand", "form")).repartition(width(rows.sparkSession), "fid"))
+    long = distinct.where(F.size("tokens") > most_tokens)
+    if long.isEmpty():
+        return distinct
+    df = distinct.select(F.explode("tokens").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    ranked = long.select("fid", F.posexplode("tokens").alias("pos", "word")).join(df, "word").groupBy("fid").agg(F.array_sort(F.collect_list(F.struct((-F.col("df")).alias("m"), "pos", "word"))).alias("t"))
+    kept = ranked.select("fid", F.transform(F.array_sort(F.transform(F.slice("t", 1, most_tokens), lambda x: F.struct(x["pos"], x["word"]))), lambda x: x["word"]).alias("kept"))
+    return cut_lineage(distinct.join(kept, "fid", "left").withColumn("tokens", F.coalesce("kept", "tokens")).drop("kept"))
+
+
+def votes(forms: DataFrame, ks: tuple[int, ...] = (2, 3)) -> DataFrame:
+    """(fid, cid, mask, score): every combination that a form of ``ballots`` proposes, ``mask`` the places of its tokens.
+
+    The score grows with the frequency over all titles and the length and falls with the average position.
+    """
+    if not ks or min(ks) < 1 or max(ks) > 3:
+        raise ValueError("combinations have one to three tokens")
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -203,78 +210,147 @@ def vote(rows: DataFrame, ks: tuple[int, ...] = (2, 3), most_tokens: int = 12) -
             out = []
             for b, f, n, toks in zip(pdf["brand"], pdf["fid"], pdf["n"], pdf["tokens"], strict=True):
                 toks = list(toks)
-                for k in ks:
-                    if len(toks) <= k:
-                        places = [tuple(range(len(toks)))]
-                    elif len(toks) <= most_tokens:
-                        places = combinations(range(len(toks)), k)
-                    else:
-                        places = [tuple(range(i, i + k)) for i in range(len(toks) - k + 1)]
-                    for p in places:
-                        name = " ".join(sorted(toks[i] for i in p))
-                        cid = xxhash.xxh64_intdigest(f"{b}\x00{name}") - 2**63
-                        out.append((f, cid, n, len(p), sum(p) / len(p), p[0] * 2**40 + p[1 % len(p)] * 2**20 + p[-1]))
-            yield plain(pd.DataFrame(out, columns=["fid", "cid", "n", "k", "pos", "at"]))
+                places = {tuple(range(len(toks))) if len(toks) <= k else p for k in ks for p in combinations(range(len(toks)), min(k, len(toks)))}
+                for p in places:
+                    cid = xxhash.xxh64_intdigest("\x00".join([b, *sorted(toks[i] for i in p)])) - 2**63
+                    out.append((f, cid, n, len(p), sum(p) / len(p), sum(1 << i for i in p)))
+            yield plain(pd.DataFrame(out, columns=["fid", "cid", "n", "k", "pos", "mask"]))
 
     # Numbers instead of words: this is the widest table of the operator.
-    votes = cut_lineage(distinct.select("brand", "fid", "n", "tokens").mapInPandas(run, "fid bigint, cid bigint, n bigint, k int, pos float, at bigint"))
-    tally = votes.groupBy("cid").agg(F.sum("n").alias("f"), (F.sum(F.col("pos") * F.col("n")) / F.sum("n")).alias("mean_pos"))
-    score = F.log1p("f") * F.pow(F.col("k"), F.lit(2)) / (1 + F.col("mean_pos"))
-    best = votes.select("fid", "cid", "k", "at").join(tally, "cid").withColumn("score", F.round(score, 6))
-    best = best.groupBy("fid").agg(F.max_by("at", F.struct("score", "cid")).alias("at"))
-    places = F.array_distinct(F.array(F.shiftright("at", 40), F.shiftright("at", 20).bitwiseAND(2**20 - 1), F.col("at").bitwiseAND(2**20 - 1)))
-    words = F.array_sort(F.transform(places, lambda i: F.element_at("tokens", (i + 1).cast("int"))))
-    return distinct.join(best, "fid").select("brand", "form", F.array_join(words, " ").alias("combination"))
-
-
-def _merge_slips(groups: DataFrame, rare: int = 3) -> DataFrame:
-    """(brand, combination, form, target): the form that each form stands for.
-
-    A form with a word in at most ``rare`` listings is compared, inside its cluster, with the forms that agree in all
-    other tokens; the more frequent of two forms whose differing words are near is the target. Forms of more than 40
-    tokens are left as they are.
+    cast = cut_lineage(forms.select("brand", "fid", "n", "tokens").mapInPandas(run, "fid bigint, cid bigint, n bigint, k int, pos float, mask bigint"))
+    tally = cast.groupBy("cid").agg(F.sum("n").alias("f"), (F.sum(F.col("pos") * F.col("n")) / F.sum("n")).alias("mean_pos"))
+    score = F.round(F.log1p("f") * F.pow(F.col("k"), F.lit(2)) / (1 + F.col("mean_pos")), 6)
+    return cast.join(tally, "cid").select("fid", "cid", "mask", score.alias("score"))
+
+
+def elect(cast: DataFrame) -> DataFrame:
+    """(fid, cid, mask): the best combination of every form."""
+    return cast.groupBy("fid").agg(F.max_by(F.struct("cid", "mask"), F.struct("score", "cid")).alias("b")).select("fid", "b.cid", "b.mask")
+
+
+def _bits(tokens: Column) -> Column:
+    """An order-free number of a set of tokens; of a set less one token it follows by ``bitwiseXOR``."""
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda s, t: s.bitwiseXOR(F.xxhash64(t)))
+
+
+def _step(content: Column | str, tolerance: float) -> Column:
+    """Number of the content on a logarithmic scale of ``tolerance``; -1 for none."""
+    return F.coalesce(F.round(F.log(content) / F.lit(math.log1p(tolerance))), F.lit(-1)).cast("bigint")
+
+
+def advertising(rows: DataFrame, forms: DataFrame, elected: DataFrame, share: float = 0.1, brands: int = 3, longest: int = 4, tolerance: float = 0.01) -> DataFrame:
+    """(run): runs of words that say nothing of the product, learnt inside the clusters.
+
+    A run outside a form's combination is tested in every cell (form, packs, content): does the form without it stand
+    in the same cluster with the same packs and content? It is advertising if that holds for ``share`` of its cells,
+    with at least ``brands`` brands.
     """
-    split = F.split("form", " ")
-    words = groups.where(F.size(split) <= 40).select("brand", "combination", "form", "n", F.explode(split).alias("word"))
-    df = words.groupBy("word").agg(F.sum("n").alias("df"))
-    rest = F.array_join(F.array_remove(F.split("form", " "), F.col("word")), " ")
-    each = words.withColumn("rest", rest).where((F.length("word") >= 5) & (F.col("rest") != ""))
-    slips = each.join(df, "word").where(F.col("df") <= rare).select("brand", "rest", F.col("form").alias("slip"), F.col("word").alias("a"), F.col("n").alias("na"))
-    pairs = slips.join(each.select("brand", "rest", "form", F.col("word").alias("b"), F.col("n").alias("nb")), ["brand", "rest"])
-    pairs = pairs.where((F.col("slip") != F.col("form")) & ((F.col("nb") > F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("form") < F.col("slip")))))
-    near = pairs.withColumn("d", canonical._swaps("a", "b")).where((F.col("d") <= 1) | ((F.col("d") == 2) & (F.length("a") >= 8)))
+    places = F.transform("tokens", lambda t, i: F.struct(t.alias("t"), (F.call_function("shiftright", F.col("mask"), i).bitwiseAND(1) == 1).alias("own")))
+    clusters = forms.join(elected, "fid").select("fid", "cid", F.transform(places, lambda x: F.when(~x["own"], x["t"])).alias("free"), _bits(F.col("tokens")).alias("bits"))
+    cells = rows.where("size(tokens) > 0").select(F.coalesce("brand", F.lit("")).alias("brand"), F.xxhash64(F.coalesce("brand", F.lit("")), _form("tokens")).alias("fid"), F.coalesce("base", F.lit("-")).alias("base"), "packs", _step("content", tolerance).alias("step")).distinct()
+    cells = cut_lineage(cells.join(clusters, "fid"))
+    key = lambda bits: F.xxhash64("cid", "base", "packs", "step", bits)
+    starts = F.sequence(F.lit(1), F.size("free"))
+    runs = F.array_distinct(F.filter(F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.slice("free", i, n)))), lambda r: ~F.exists(r, lambda t: t.isNull())))
+    tested = cells.select("brand", "cid", "base", "packs", "step", "bits", F.explode(runs).alias("r")).select("brand", F.array_join("r", " ").alias("run"), key(F.col("bits").bitwiseXOR(_bits(F.col("r")))).alias("key"))
+    present = cells.select(key(F.col("bits")).alias("key")).distinct().withColumn("hit", F.lit(1))
+    by_brand = tested.join(present, "key", "left").groupBy("run", "brand").agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("hits"))
+    per_run = by_brand.groupBy("run").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"), F.sum((F.col("hits") > 0).cast("int")).alias("brands"))
+    return per_run.where((F.col("brands") >= brands) & (F.col("hits") >= share * F.col("n"))).select("run")
+
+
+def _without(forms: DataFrame, runs: DataFrame, longest: int = 4) -> DataFrame:
+    """(fid, ad): the places (from 0) of advertising in the forms that have any."""
+    starts = F.sequence(F.lit(1), F.size("tokens"))
+    each = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("tokens") - i + 1)), lambda n: F.struct(i.alias("i"), n.alias("n"), F.array_join(F.slice("tokens", i, n), " ").alias("run")))))
+    hits = forms.select("fid", F.inline(each)).join(_small(runs, runs.count()), "run")
+    return hits.groupBy("fid").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("i") - 1, F.col("i") + F.col("n") - 2)))).alias("ad"))
+
+
+def _slips(forms: DataFrame, rare: int = 3) -> DataFrame:
+    """(brand, form, target): the form that each form with a slip stands for.
+
+    ``forms``: brand, form, cid, n, distinct. The two agree in all words but one, which at most ``rare`` listings have
+    and which is near the other's: as near as ``edits_allowed`` within a cluster, one edit (two from eight letters)
+    between clusters. The more frequent form is the target.
+    """
+    each = forms.select("brand", "cid", "form", "n", _bits(F.split("form", " ")).alias("bits"), F.explode(F.split("form", " ")).alias("word")).where("form <> word")
+    each = each.withColumn("rest", F.xxhash64("brand", F.col("bits").bitwiseXOR(F.xxhash64("word")))).drop("bits")
+    df = each.groupBy("word").agg(F.sum("n").alias("df"))
+    rare_words = df.where((F.col("df") <= rare) & (F.length("word") >= 5)).select("word")
+    slips = cut_lineage(each.join(rare_words, "word").select("brand", "rest", F.col("cid").alias("ca"), F.col("form").alias("slip"), F.col("word").alias("a"), F.col("n").alias("na")))
+    rests = slips.select("rest").distinct()
+    others = each.where(F.length("word") >= 4).join(rests, "rest", "left_semi").select("rest", F.col("cid").alias("cb"), "form", F.col("word").alias("b"), F.col("n").alias("nb"))
+    # Of a rest that many forms share only near words meet: the join is on the rest and a deletion variant.
+    left = slips.withColumn("v", F.explode(canonical.variants(F.col("a"))))
+    met = left.join(others.withColumn("v", F.explode(canonical.variants(F.col("b")))), ["rest", "v"]).drop("v", "rest").distinct()
+    met = met.where((F.col("slip") != F.col("form")) & ((F.col("nb") > F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("form") < F.col("slip")))))
+    inside = F.col("d") <= canonical.edits_allowed(F.least(F.length("a"), F.length("b")))
+    across = (F.col("d") <= 1) | ((F.col("d") == 2) & (F.length("a") >= 8))
+    near = met.withColumn("d", canonical._swaps("a", "b")).where(((F.col("ca") == F.col("cb")) & inside) | across)
     return near.groupBy("brand", F.col("slip").alias("form")).agg(F.min_by("form", F.struct("d", (-F.col("nb")).alias("m"), "form")).alias("target"))
 
 
-def product_ids(rows: DataFrame, tolerance: float = 0.031, by_source: bool = False) -> DataFrame:
-    """(row_ord, source, product): listings of the same product share ``product``, the least row_ord among them.
+def readings(rows: DataFrame) -> DataFrame:
+    """(row_ord, source, level, brand, form, combination, base, content, packs): every listing with its verified form and its cluster.
 
-    ``by_source``: listings of different sources stay apart (votes are still counted over all).
+    ``form``: the tokens without advertising, slips mended; ``combination``: the number of the cluster's combination.
+    """
+    base = rows.where("size(tokens) > 0").withColumn("brand", F.coalesce("brand", F.lit(""))).withColumn("fid", F.xxhash64("brand", _form("tokens")))
+    forms = ballots(rows)
+    cast = cut_lineage(votes(forms))
+    elected = cut_lineage(elect(cast))
+    runs = cut_lineage(advertising(rows, forms, elected))
+    ads = _without(forms, runs)
+    marked = cut_lineage(forms.join(ads, "fid", "left").withColumn("ad", F.coalesce("ad", F.array().cast("array<int>"))))
+    kept = F.filter("tokens", lambda t, i: ~F.array_contains("ad", i))
+    bad = F.aggregate("ad", F.lit(0).cast("bigint"), lambda s, i: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), i)))
+    marked = marked.withColumn("kept", F.when(F.size(kept) > 0, kept).otherwise(F.col("tokens"))).withColumn("bad", F.when(F.size(kept) > 0, bad).otherwise(F.lit(0).cast("bigint")))
+    # A combination that holds advertising is dropped; the form takes its next best, or all that is left of it.
+    changed = marked.join(elected, "fid").where(F.col("mask").bitwiseAND(F.col("bad")) != 0).select("fid", "bad")
+    again = elect(cast.join(_small(changed, changed.count()), "fid").where(F.col("mask").bitwiseAND(F.col("bad")) == 0))
+    lone = F.xxhash64("brand", _form("kept"))
+    second = changed.join(again, "fid", "left").join(marked.select("fid", "brand", "kept"), "fid").select("fid", F.coalesce("cid", lone).alias("cid2"))
+    final = marked.join(elected.select("fid", "cid"), "fid").join(second, "fid", "left").select(
+        "fid", "brand", _form("kept").alias("form"), F.coalesce("cid2", "cid").alias("cid"), "n")
+    final = cut_lineage(final)
+    counted = final.groupBy("brand", "form").agg(F.sum("n").alias("n"), F.min("cid").alias("cid"))
+    targets = cut_lineage(_slips(counted))
+    mended = final.join(_small(targets, targets.count()), ["brand", "form"], "left").select("fid", F.coalesce("target", "form").alias("form"))
+    cluster = counted.select(F.col("brand").alias("b2"), F.col("form").alias("f2"), F.col("cid").alias("combination"))
+    out = base.join(mended, "fid").join(cluster, (F.col("brand") == F.col("b2")) & (F.col("form") == F.col("f2")))
+    return cut_lineage(out.select("row_ord", "source", "level", "brand", "form", "combination", "base", "content", "packs"))
+
+
+def product_ids(read: DataFrame, tolerance: float = 0.031, by_source: bool = False) -> DataFrame:
+    """(row_ord, source, product, n_links): listings of the same product share ``product``, the least row_ord among them.
+
+    ``read``: of ``readings``. ``by_source``: listings of different sources stay apart. ``n_links``: the other listings
+    of the product.
     """
-    base = rows.where("size(tokens) > 0").select(
-        "row_ord", "source", F.coalesce("brand", F.lit("")).alias("brand"), "base", "content", "packs", F.array_join(F.array_sort("tokens"), " ").alias("form")
-    )
-    clusters = cut_lineage(vote(rows))
-    counted = base.groupBy("brand", "form").agg(F.count(F.lit(1)).alias("n")).join(clusters, ["brand", "form"])
-    targets = cut_lineage(_merge_slips(counted))
-    merged = base.join(_small(targets, targets.count()), ["brand", "form"], "left").withColumn("form", F.coalesce("target", "form")).drop("target")
-    verified = merged.join(clusters, ["brand", "form"])
     # Copies are counted before any window, so a product that holds a third of all listings is a few rows there.
     key = [*(["source"] if by_source else []), "brand", "combination", "form", "base", "packs"]
-    keyed = verified.withColumns({"base": F.coalesce("base", F.lit("-")), "content": F.coalesce("content", F.lit(-1.0))})
-    distinct = keyed.groupBy(*key, "content").agg(F.min("row_ord").alias("first"))
+    keyed = read.withColumns({"base": F.coalesce("base", F.lit("-")), "content": F.coalesce("content", F.lit(-1.0))})
+    distinct = keyed.groupBy(*key, "content").agg(F.min("row_ord").alias("first"), F.count(F.lit(1)).alias("n"))
     steps = Window.partitionBy(*key).orderBy("content")
     jump = F.when(F.col("content") > F.lag("content").over(steps) * (1 + tolerance), 1).otherwise(0)
     chained = distinct.withColumn("jump", jump).withColumn("step", F.sum("jump").over(steps.rowsBetween(Window.unboundedPreceding, 0)))
-    named = chained.withColumn("product", F.min("first").over(Window.partitionBy(*key, "step"))).select(*key, "content", "product")
-    return keyed.join(named, [*key, "content"]).select("row_ord", "source", "product")
+    whole = Window.partitionBy(*key, "step")
+    named = chained.select(*key, "content", F.min("first").over(whole).alias("product"), (F.sum("n").over(whole) - 1).alias("n_links"))
+    return keyed.join(named, [*key, "content"]).select("row_ord", "source", "product", "n_links")
+
 
+def pairs_within(products: DataFrame, salts: int = 16) -> DataFrame:
+    """(row_lo, row_hi) of all listings of the same product: the pairs that a result is defined by.
 
-def pairs_within(products: DataFrame) -> DataFrame:
-    """(row_lo, row_hi) of all listings of the same product: the pairs that the result is defined by."""
-    a = products.select("product", F.col("row_ord").alias("row_lo"))
-    b = products.select("product", F.col("row_ord").alias("row_hi"))
-    return a.join(b, "product").where("row_lo < row_hi").select("row_lo", "row_hi")
+    One side of each product is spread over ``salts`` parts, so that no product is one task.
+    """
+    many = products.where("n_links > 0")
+    parts = F.when(F.col("n_links") < salts, F.array(F.lit(-1).cast("bigint"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    b = many.select("product", F.col("row_ord").alias("row_hi"), F.explode(parts).alias("salt"))
+    own = F.when(F.col("n_links") < salts, F.lit(-1).cast("bigint")).otherwise(F.pmod(F.xxhash64("row_ord"), F.lit(salts).cast("bigint")))
+    a = many.select("product", F.col("row_ord").alias("row_lo"), own.alias("salt"))
+    return a.join(b, ["product", "salt"]).where("row_lo < row_hi").select("row_lo", "row_hi")
 
 
 def catalogue(a: DataFrame, b: DataFrame) -> DataFrame:

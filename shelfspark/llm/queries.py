@@ -38,18 +38,18 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("row_ord", F.coalesce("entry_id", F.lit(-1)).cast("bigint").alias("brand_id"))
 
 
-def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = products.catalogue(table(spark, sf_dir, "mini_a"), table(spark, sf_dir, "mini_b"))
-    return products.forms(both, table(spark, sf_dir, "brand_list"))
+    return products.readings(products.forms(both, table(spark, sf_dir, "brand_list")))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products.pairs_within(products.product_ids(_forms(spark, sf_dir)))
+    return products.pairs_within(products.product_ids(_readings(spark, sf_dir)))
 
 
 def p4_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matches with their marginal probability."""
-    return matching.match(_forms(spark, sf_dir))
+    return matching.match(_readings(spark, sf_dir))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

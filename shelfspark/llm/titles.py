@@ -1,7 +1,7 @@
 r"""Titles of listings as canonical tokens.
 
 A title is folded, its quantities are cut out, usual shortenings are written out, phrases that mean the same get
-one token, advertising and remarks are dropped. What remains, in order, are the words that name a product.
+one token, remarks are dropped. What remains, in order, are the words that name a product or advertise it.
 """
 
 from __future__ import annotations
@@ -31,24 +31,12 @@ SAME_MEANING = {
     "reduced fat": "reduced-fat", "less fat": "reduced-fat", "lower fat": "reduced-fat",
     "organically grown": "organic", "fragrance free": "unscented", "free from fragrance": "unscented", "scent free": "unscented",
 }
-DIETS = ("gluten-free", "sugar-free", "low-sodium", "reduced-fat", "organic")
-FORMS = ("liquid", "foam", "gel", "powder", "block", "sliced", "shredded", "kibble", "pate", "chunks", "frozen")
-# Advertising and remarks that name no product.
-ADVERTISING = (
-    "great tasting", "family favorite", "customer choice", "small batch feel", "perfect for sharing", "now even better", "top rated",
-    "new look", "best value", "party ready", "kids love it", "pantry essential", "chef inspired", "limited time", "item may vary",
-    "made in small kitchens", "serve chilled or warm", "recyclable package", "delicious", "premium", "quality", "everyday",
-)
 _REMARKS = re.compile(
     r"contains \d+ or less of [a-z]+|ships in \d+ days?|rated \d+(?: \d+)? stars?|\d+ satisfaction|\d+ cotton|\bsku \d+|\bspf \d+|\bsize (?:xxl|xl|xs|s|m|l)\b"
     r"|\b\d+(?: \d+)?(?: ?x ?\d+(?: \d+)?)? ?(?:inch(?:es)?|in|ft|feet|cm|mm|w|watts?|days?|mg|mcg|iu)\b"
 )
 _REMARKS_RAW = re.compile(r"\d+(?:\.\d+)?\s*['\"″′](?:\s*x\s*\d+(?:\.\d+)?\s*['\"″′])?|\d+\s*%\s*(?:cotton|satisfaction)|rated\s+\d[\d.]*\s*stars?|contains\s+\d+\s*%[^,|]*", re.IGNORECASE)
-_ADS = re.compile(r"\b(?:" + "|".join(sorted(ADVERTISING, key=len, reverse=True)) + r")\b")
 _SAME = re.compile(r"\b(?:" + "|".join(sorted(SAME_MEANING, key=len, reverse=True)) + r")\b")
-_PACKING = re.compile(
-    r"\b(?:\d+|" + "|".join(quantities.NUMBER_WORDS) + r")? ?(?:packs?|pks?|count|ct|total)\b(?: of \d+)?|\bnet (?:wt|weight)\b|\bapprox\b"
-)
 DROPPED = COMPANY_WORDS | frozenset("with or of in a an x each scent flavor flavored total packs pack pk amp quot size style frozen net wt approx".split())
 
 
@@ -71,33 +59,34 @@ def words(title: str) -> list[str]:
 
 
 def canonical(ws: list[str]) -> list[str]:
-    """Words as canonical tokens, in order, each once: remarks and advertising dropped, one token per meaning."""
-    s = _ADS.sub(" ", _REMARKS.sub(" ", " ".join(ws)))
+    """Words as canonical tokens, in order: remarks dropped, one token per meaning."""
+    s = _REMARKS.sub(" ", " ".join(ws))
     s = _SAME.sub(lambda m: SAME_MEANING[m[0]], s)
-    return [w for w in dict.fromkeys(s.split()) if w not in DROPPED and not any(c.isdigit() for c in w) and len(w) > 1]
+    return [w for w in s.split() if w not in DROPPED and not any(c.isdigit() for c in w) and len(w) > 1]
 
 
 def tokens(title: str) -> list[str]:
     return canonical(words(title))
 
 
-def attributes(item_info: str | None) -> list[str]:
-    """Variety, form and diet that a JSON cell states."""
-    if not item_info:
-        return []
-    try:
-        got = json.loads(item_info)
-    except ValueError:
+def attributes(item_info: str | None) -> tuple[list[str], str | None]:
+    """Variety, form and diet that a JSON cell states, and its category path (null for none)."""
+    got = None
+    if item_info:
         try:
-            got = json.loads(item_info.replace("'", '"'))
+            got = json.loads(item_info)
         except ValueError:
-            return []
+            try:
+                got = json.loads(item_info.replace("'", '"'))
+            except ValueError:
+                got = None
     if not isinstance(got, dict):
-        return []
+        return [], None
     out: list[str] = []
     for k in ("flavor", "color", "form", "storage_type"):
         if isinstance(got.get(k), str):
             out += tokens(html.unescape(got[k]))
     if str(got.get("is_organic")).lower() in ("true", "1", "yes"):
         out.append("organic")
-    return out
+    path = [str(got[k]).strip().lower() for k in ("category_0", "category_1", "category_2") if isinstance(got.get(k), str)]
+    return out, "/".join(path) or None
