@@ -11,7 +11,10 @@ every worker holds. A sentence is then a sum over its trigrams' rows.
 Stretches: the sentences' scores are decoded with a cost per change of language (Viterbi). Markup and quoted
 titles take no part; headings and other scraps without letters follow their neighbours.
 
-Null texts and texts without letters give no row.
+A sentence weighs by its length, since the products of its trigrams are summed; different trigrams have independent
+vectors, so the norm of a bundle is that of its counts but for noise of one over the root of the dimensions.
+
+Null texts and texts without letters give no row; a text in letters outside the table is ``und`` with confidence 0.
 """
 
 from __future__ import annotations
@@ -34,7 +37,10 @@ _CODE = np.zeros(0x110000 // 256, dtype=np.uint8)  # letters of the table lie be
 for _i, _c in enumerate(LETTERS, start=1):
     _CODE[ord(_c)] = _i
 SIZE = len(LETTERS) + 1
-_TAG = re.compile(r"<[^<>]{1,200}>")
+#: The language of a text whose letters are all outside the table.
+UNKNOWN = "und"
+# Tags of any length; a comment that only closes after 200 characters is taken for text, so that a stray opening swallows nothing.
+_TAG = re.compile(r"</?[a-zA-Z][^<>]*>|<[^<>]{1,200}>")
 _QUOTE = re.compile(r"\"[^\"\n]{1,250}\"|«[^»\n]{1,250}»|„[^“”\n]{1,250}[“”]|“[^”\n]{1,250}”")
 _HYPHEN = re.compile(r"(?<=\w)[-‐]\r?\n[>\s]*(?=\w)")
 _CITED = re.compile(r"^[>\s]+", re.MULTILINE)
@@ -171,7 +177,7 @@ def stretches(text: str, langs: list[str], table: np.ndarray, change: float) ->
     heads = np.array([h for _, h in sents])
     weight = np.where(heads & (~heads).any(), 0.0, 1.0)
     if not any(len(g) for g in grams):
-        return []
+        return [(UNKNOWN, 0.0, " ".join(s for s, _ in sents))] if any(c.isalpha() for s, _ in sents for c in s) else []
     path = decode(raw * weight[:, None], change)
     if (weight == 0).any():  # a heading goes with what follows it, the last with what precedes it
         for i in range(len(path) - 1, -1, -1):
@@ -208,7 +214,8 @@ def identify(
 ) -> DataFrame:
     """(key, label, seg_no, n_segs, lang, confidence, n_chars) of every stretch of every document.
 
-    The prototypes are fitted on a bounded sample of labelled rows (``rows`` x ``chars``); every text is read whole.
+    The prototypes are fitted on a bounded sample of labelled rows (``rows`` x ``chars``, and retrained on at most twice
+    ``per_language`` of their sentences for each language); every text is read whole.
     """
     samples = sample_texts(df, text, lang, key, languages, rows, chars)
     if not samples:

@@ -7,7 +7,7 @@ at most two stretches are counted.
 
 With at most ``MOST_HASHES`` item hashes they are sent to the workers, which match, align and emit leaks in one
 pass without a shuffle; beyond, the hashes are joined by shuffle and the candidate pairs verified after it.
-Null and empty texts leak nothing.
+An item shorter than the masks is sought by all its words at once. Null and empty texts leak nothing.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import html
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
 
@@ -29,9 +29,13 @@ from shelfspark.session import spread
 
 MASKS = ("1110011", "1101011", "1011101")
 MOST_HASHES = 2_000_000
-_TAG = re.compile(r"<[^<>]{1,200}>")
+# Tags of any length; a comment that only closes after 200 characters is taken for text, so that a stray opening swallows nothing.
+_TAG = re.compile(r"</?[a-zA-Z][^<>]*>|<[^<>]{1,200}>")
 _HYPHEN = re.compile(r"(?<=\w)[-‐]\r?\n[>\s]*(?=\w)")
 _WORD = re.compile(r"[0-9a-z]+")
+#: Words of any script; of scripts written without spaces every sign is a word.
+_SIGNS = r"\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+_ANY_WORD = re.compile(rf"[{_SIGNS}]|[^\W_{_SIGNS}]+")
 _MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64 | 1 for i in range(16)], dtype=np.uint64)
 
 
@@ -40,7 +44,7 @@ def words(text: str) -> list[str]:
     s = _HYPHEN.sub("", html.unescape(_TAG.sub(" ", text)).replace("\u00ad", "").lower())
     if not s.isascii():
         s = "".join(c for c in unicodedata.normalize("NFKD", s.replace("ß", "ss")) if not unicodedata.combining(c))
-    return _WORD.findall(s)
+    return (_WORD if s.isascii() else _ANY_WORD).findall(s)
 
 
 @lru_cache(maxsize=200_000)
@@ -49,14 +53,20 @@ def _code(word: str) -> int:
     return (zlib.crc32(b) << 32) | zlib.adler32(b)
 
 
+def masks_of(n_words: int, masks: tuple[str, ...] = MASKS) -> tuple[str, ...]:
+    """The masks that an item is sought by: those given, or, for an item shorter than they are, all its words at once."""
+    return masks if n_words >= max(map(len, masks)) else ("1" * n_words,) * (n_words > 0)
+
+
 def seeds(toks: list[str], masks: tuple[str, ...] = MASKS) -> list[tuple[int, np.ndarray]]:
-    """(mask number, hash of every window) of a text."""
+    """(mask number, hash of every window) of a text; the number of a mask without gaps is its length below zero."""
     w = np.fromiter(map(_code, toks), dtype=np.uint64, count=len(toks))
     out = []
     for m, mask in enumerate(masks):
+        m = m if "0" in mask else -len(mask)
         n = len(w) - len(mask) + 1
         if n > 0:
-            h = np.full(n, np.uint64(m + 1), dtype=np.uint64)
+            h = np.full(n, np.uint64((m + 1) % 2**64), dtype=np.uint64)
             for j in (j for j, b in enumerate(mask) if b == "1"):
                 h = (h ^ w[j : j + n]) * _MULTIPLIERS[j]
                 h ^= h >> np.uint64(29)
@@ -84,11 +94,17 @@ def repeated(item: list[str], doc: list[str], hits: list[tuple[int, int]], gap_c
         blocks = [x for x in SequenceMatcher(None, item, doc[lo:hi], autojunk=False).get_matching_blocks() if x.size]
         gaps = [max(y.a - x.a - x.size, y.b - x.b - x.size) * gap_cost for x, y in zip(blocks, blocks[1:], strict=False)]
         found += _runs(blocks, gaps)
-    solid = sorted((f for f in found if f[2] >= 6), key=lambda f: -f[2])[:6]
+    # Of runs over the same words of the item only the best counts, so a passage that is quoted often hides no other.
+    solid: list[tuple[int, int, int]] = []
+    for f in sorted((f for f in found if f[2] >= min(6, len(item))), key=lambda f: -f[2]):
+        if not any(g[0] <= f[0] and f[1] <= g[1] for g in solid):
+            solid.append(f)
     best = (0, 0)
     for i, f in enumerate(solid):
         best = max(best, (f[1] - f[0], f[2]), key=lambda x: x[1])
         for g in solid[i + 1 :]:
+            if f[2] + g[2] <= best[1]:  # the rest are shorter still
+                break
             shared = max(0, min(f[1], g[1]) - max(f[0], g[0]))
             if shared * 2 < min(f[1] - f[0], g[1] - g[0]):
                 best = max(best, (f[1] - f[0] + g[1] - g[0] - shared, f[2] + g[2] - shared), key=lambda x: x[1])
@@ -121,7 +137,7 @@ class Items:
         self.words = [words(t) for _, t in rows]
         hashes, owner, place, kind = [], [], [], []
         for i, toks in enumerate(self.words):
-            for m, h in seeds(toks, masks):
+            for m, h in seeds(toks, masks_of(len(toks), masks)):
                 hashes.append(h)
                 owner.append(np.full(len(h), i))
                 place.append(np.arange(len(h)))
@@ -131,16 +147,17 @@ class Items:
         order = np.argsort(h, kind="stable")
         self.hash, self.owner, self.place = h[order], cat(owner, int)[order], cat(place, int)[order]
         self.kind = cat(kind, int)[order]
-        self.masks = [np.array([j for j, b in enumerate(m) if b == "1"]) for m in masks]
+        self.sought = tuple(masks) + tuple("1" * n for n in sorted({-m for m in self.kind.tolist() if m < 0}))
+        self.masks = {m: np.array([j for j, b in enumerate(mask) if b == "1"]) for m, mask in enumerate(masks)} | {-len(x): np.arange(len(x)) for x in self.sought[len(masks) :]}
 
-    def leaks(self, text: str, least_hit: float, masks: tuple[str, ...] = MASKS) -> list[tuple[int, int, int, int]]:
+    def leaks(self, text: str, least_hit: float) -> list[tuple[int, int, int, int]]:
         """(item, its words, words covered, words matched) of every item that is hit enough."""
         if not len(self.hash):
             return []
         toks = words(text)
         hits: dict[int, list[tuple[int, int]]] = {}
         covered: dict[int, set[int]] = {}
-        for m, h in seeds(toks, masks):
+        for m, h in seeds(toks, self.sought):
             at = np.searchsorted(self.hash, h)
             same = np.nonzero(self.hash[np.minimum(at, len(self.hash) - 1)] == h)[0]
             for d in same.tolist():
@@ -182,26 +199,43 @@ def find_leaks(
 
         got = spread(src).mapInPandas(match, schema)
     else:
-        pairs = _seed_rows(src.select(F.col("d").alias("k"), "t")).join(
-            _seed_rows(eval_rows.select(F.col("i").alias("k"), "t")).withColumnRenamed("k", "i"), "h"
+        shortest = max(map(len, MASKS))
+        lengths = [n for n in range(1, shortest) if not eval_rows.where(_word_count("t") == n).isEmpty()]
+        doc_masks = MASKS + tuple("1" * n for n in lengths)
+        pairs = _seed_rows(src.select(F.col("d").alias("k"), "t"), lambda n: doc_masks).join(
+            _seed_rows(eval_rows.select(F.col("i").alias("k"), "t"), masks_of).withColumnRenamed("k", "i"), "h"
         ).select(F.col("k").alias("d"), "i").distinct()
 
         def verify(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known: dict[int, Items] = {}
             for pdf in it:
                 out = []
                 for d, i, t, e in zip(pdf["d"], pdf["i"], pdf["t"], pdf["e"], strict=True):
-                    out += [(d, *x) for x in Items([(i, e)]).leaks(t, least_hit)]
+                    if i not in known:
+                        if len(known) > 10_000:
+                            known.clear()
+                        known[i] = Items([(i, e)])
+                    out += [(d, *x) for x in known[i].leaks(t, least_hit)]
                 yield pd.DataFrame(out, columns=[doc_id, item_id, "n_words", "covered", "matched"]).astype("int64")
 
         got = pairs.join(eval_rows.withColumnRenamed("t", "e"), "i").join(src, "d").mapInPandas(verify, schema)
     return got.where((F.col("matched") >= share * F.col("n_words")) & (F.col("matched") >= density * F.col("covered")))
 
 
-def _seed_rows(df: DataFrame) -> DataFrame:
+def _word_count(text: str):
+    @F.pandas_udf("int")
+    def udf(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: len(words(t)))
+
+    return udf(F.col(text))
+
+
+def _seed_rows(df: DataFrame, masks: Callable[[int], tuple[str, ...]]) -> DataFrame:
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             for k, t in zip(pdf["k"], pdf["t"], strict=True):
-                parts = [a for _, a in seeds(words(t))]
+                toks = words(t)
+                parts = [a for _, a in seeds(toks, masks(len(toks)))]
                 h = np.unique(np.concatenate(parts)).astype(np.int64) if parts else np.zeros(0, dtype=np.int64)
                 yield pd.DataFrame({"k": np.full(len(h), k, dtype=np.int64), "h": h})
 

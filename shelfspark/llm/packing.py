@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from shelfspark.session import cut_lineage, plain, spread
 
-TOKENIZER = os.environ.get("SHELFSPARK_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
 Pattern = tuple[int, dict[int, int]]  # times, copies of each length
 
 
@@ -78,7 +77,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[Pattern]:
     return out
 
 
-def token_counts(df: DataFrame, key: str, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
+def token_counts(df: DataFrame, key: str, text: str, tokenizer: str) -> DataFrame:
     """(key, n_tokens) of every row, by a public tokenizer read from the file ``tokenizer`` on the workers."""
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

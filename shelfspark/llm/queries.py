@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.llm import canonical, distinctive, languages, leaks, matching, packing, products
 from shelfspark.session import cut_lineage, table
 
+#: The public tokenizer by whose tokens documents are measured.
+TOKENIZER = os.environ.get("SHELFSPARK_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
+
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "mini_a").select("row_ord", "name").unionByName(table(spark, sf_dir, "mini_b").select("row_ord", "name"))
@@ -66,7 +71,7 @@ def _budgets(spark: SparkSession, sf_dir: str) -> list[tuple[int, int]]:
 
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The container of every document (or piece of one) in every budget."""
-    lengths = cut_lineage(packing.token_counts(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    lengths = cut_lineage(packing.token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", TOKENIZER))
     return packing.pack(lengths, _budgets(spark, sf_dir)).withColumnRenamed("key", "doc_id")
 
 
@@ -80,7 +85,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = languages.relabelled(languages.identify(table(spark, sf_dir, "documents")))
-    return got.select(F.col("key").alias("doc_id"), "seg_no", "lang")
+    return got.where(F.col("lang") != languages.UNKNOWN).select(F.col("key").alias("doc_id"), "seg_no", "lang")
 
 
 QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_confidence": p4_confidence, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found, "p6_found": p6_found, "p6_residuals": p6_residuals, "p7_found": p7_found}

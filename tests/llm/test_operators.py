@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 from itertools import combinations_with_replacement
 
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfspark.llm import canonical, distinctive, languages, leaks, matching, packing, products, titles
+from shelfspark.llm import canonical, distinctive, languages, leaks, matching, packing, products, queries, titles
 
 # --- distinctive terms ---------------------------------------------------------------------------------------
 
@@ -19,8 +20,6 @@ def test_residuals_against_brute_force(spark):
     texts = {i: " ".join(rng.choice(["plum", "jam's", "ÉTÉ's", "oats", "berry", "tea"]) for _ in range(rng.randrange(9))) for i in range(50)}
     texts |= {50: None, 51: "", 52: "word " * 5000, 53: texts[0]}
     df = spark.createDataFrame([(k, t, "x") for k, t in texts.items()], "k bigint, t string, term string")
-    import re
-
     counts = {k: Counter(w for w in re.findall(r"[^\W\d_]+", (t or "").lower()) if len(w) >= 4) for k, t in texts.items()}
     n = sum(sum(c.values()) for c in counts.values())
     margin = Counter()
@@ -37,6 +36,18 @@ def test_residuals_against_brute_force(spark):
     assert distinctive.residuals(df.limit(0), "k", "t").count() == 0
 
 
+def test_residual_decides_the_rare_terms(spark):
+    """Against counting records; a long record is counted by a grouped sum with the same residuals."""
+    rng = random.Random(2)
+    texts = {i: " ".join(rng.choice(["plum", "jams", "oats", "berry", f"word{'abcdefghijklmnop'[rng.randrange(16)] * 4}"]) for _ in range(rng.randrange(9))) for i in range(60)}
+    df = spark.createDataFrame(list(texts.items()), "k bigint, t string")
+    held = Counter(w for t in texts.values() for w in set(re.findall(r"[a-z]{4,}", t)))
+    got = {(r["key"], r["term"]): r["residual"] for r in distinctive.rare_terms(df, "k", "t").collect()}
+    assert set(got) == {(k, w) for k, t in texts.items() for w in set(re.findall(r"[a-z]{4,}", t)) if held[w] <= 3} and min(got.values()) > 0
+    longer = distinctive.term_counts(df, "k", "t", long=2)
+    assert sorted(map(tuple, longer.collect())) == sorted(map(tuple, distinctive.term_counts(df, "k", "t").collect()))
+
+
 def test_single_term_collection_has_no_residual(spark):
     df = spark.createDataFrame([(1, "plum plum")], "k bigint, t string")
     assert distinctive.residuals(df, "k", "t").first()["residual"] is None
@@ -50,6 +61,30 @@ def test_swap_distance(a, b, want):
     assert canonical.swap_distance(a, b) == want == canonical.swap_distance(b, a)
 
 
+def test_near_words_against_brute_force(spark):
+    """No pair within the allowed edits is missed, however long the words, and no abbreviation."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcde") for _ in range(rng.randrange(2, 16))) for _ in range(150)]
+
+    def slip(w):
+        w = list(w)
+        for _ in range(rng.randrange(4)):
+            i = rng.randrange(len(w))
+            w[i : i + rng.randrange(3)] = rng.choice(["", "a", "b"])
+            w = w or ["a"]
+        return "".join(w)
+
+    tokens = sorted({slip(w) for w in words * 2} | {w[0] + w[-1] for w in words})
+    got = {(r["token"], r["word"]) for r in canonical.repair_tokens(spark.createDataFrame([(t,) for t in tokens], "token string"), spark.createDataFrame([(w,) for w in words], "word string")).collect()}
+
+    def short(t, w):
+        it = iter(w)
+        return 2 <= len(t) < len(w) and t[0] == w[0] and all(c in it for c in t)
+
+    want = {(t, w) for t in tokens for w in words if canonical.swap_distance(t, w) <= canonical.edits_allowed(min(len(t), len(w))) or short(t, w)}
+    assert got == want
+
+
 def test_fold():
     assert canonical.fold("Crème-Brûlée™") == "creme brulee"
     assert canonical.fold("GоldenFarms") == "golden farms"  # a Cyrillic letter
@@ -74,7 +109,7 @@ def test_map_to_list(spark):
 
 
 @pytest.mark.parametrize(("title", "want"), [
-    ("(8 pack) Mirlow Lower Sodium Mint Cola, 500 mL", ["mirlow", "low-sodium", "mint", "cola"]), ("GF Oat Bar Best Value | Ships in 2 days", ["gluten-free", "oat", "bar"]),
+    ("(8 pack) Mirlow Lower Sodium Mint Cola, 500 mL", ["mirlow", "low-sodium", "mint", "cola"]), ("GF Oat Bar Best Value | Ships in 2 days", ["gluten-free", "oat", "bar", "best", "value"]),
     ("Rug 5' x 7', Contains 2% or less of spices", ["rug"]), ("Four 6 oz Packs Org Tea", ["organic", "tea"]), ("", []), ("12", []),
 ])
 def test_tokens(title, want):
@@ -101,31 +136,36 @@ A_ROWS = [
 B_ROWS = [(21, "Acme Plumly Cola, Mint", None, "{'size_user_friendly': '1/2 l'}", None), (22, "Zeta Farms Oat Bar", "Zeta Farms", '{"size_user_friendly":"142 g"}', None), (23, "Zeta Farms Rye Bar", None, '{"size_user_friendly":"5 oz"}', None)]
 
 
-@pytest.mark.parametrize("most", [products.MOST_SENT, 0])
+@pytest.mark.parametrize("most", [canonical.MOST_SENT, 0])
 def test_products_and_matches(spark, brands, monkeypatch, most):
-    monkeypatch.setattr(products, "MOST_SENT", most)  # beyond the bound the same by shuffle
-    both = products.catalogue(listings(spark, A_ROWS), listings(spark, B_ROWS))
-    forms = products.forms(both, brands)
+    monkeypatch.setattr(canonical, "MOST_SENT", most)  # beyond the bound the same by shuffle
+    plain = [(100 + i, f"Acme {line} Mint Cola, 500 ml", None, None, None) for i, line in enumerate(["Brimly", "Dornly", "Quilly", "Fendly"])]
+    loud = [(200 + i, f"Zeta Farms {x} Oat Bar 7 oz{ad}", None, None, None) for i, (x, ad) in enumerate([("Brimly", ""), ("Brimly", ", Best Value"), ("Dornly", ""), ("Dornly", " Best Value")])]
+    more = [(300, "Dornly Cola, Best Value", "Acme", None, '{"flavor":"mint"}'), (301, "Oddly Tea, Best Value 1 kg", "Third Mill", None, None), (302, "Oddly Tea 1 kg", "Third Mill", None, None), (303, "Oddly Tea 1 kg", "Third Mill", None, None)]
+    both = products.catalogue(listings(spark, A_ROWS), listings(spark, B_ROWS)).unionByName(products.catalogue(listings(spark, [*plain, *loud, *more]), listings(spark, [])))
+    forms = products.readings(products.forms(both, brands))
     ids = products.product_ids(forms)
     groups = {}
     for r in ids.collect():
         groups.setdefault(r["product"], set()).add(r["row_ord"])
-    assert sorted(map(sorted, (g for g in groups.values() if len(g) > 1))) == [[1, 2, 4, 21], [8, 9, 22]]
+    assert sorted(map(sorted, (g for g in groups.values() if len(g) > 1))) == [[1, 2, 4, 21], [8, 9, 22], [200, 201], [202, 203], [301, 302, 303]]
     pairs = {(r["row_lo"], r["row_hi"]) for r in products.pairs_within(ids).collect()}
-    assert len(pairs) == 6 + 3 and all(a < b for a, b in pairs)
+    assert len(pairs) == 6 + 3 + 1 + 1 + 3 and all(a < b for a, b in pairs)
+    assert {(r["row_lo"], r["row_hi"]) for r in products.pairs_within(ids, salts=2).collect()} == pairs
+    assert {r["row_ord"]: r["n_links"] for r in ids.collect() if r["n_links"]} == {x: len(g) - 1 for g in groups.values() if len(g) > 1 for x in g}
     got = {(r["row_lo"], r["row_hi"]): r["confidence"] for r in matching.match(forms).collect()}
     assert set(got) == {(1, 21), (2, 21), (4, 21), (8, 22), (9, 22)} and all(0.5 <= p <= 1 for p in got.values())
 
 
 def test_many_copies_and_long_titles(spark, brands):
     rows = [(i, "Acme Plumly Mint Cola, 500 ml", None, None, None) for i in range(1, 60)] + [(100, "word " + " ".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100 % 6]}" for i in range(600)), None, None, None), (101, "x" * 5000, None, None, None)]
-    ids = products.product_ids(products.forms(products.catalogue(listings(spark, rows), listings(spark, [])), brands)).collect()
+    ids = products.product_ids(products.readings(products.forms(products.catalogue(listings(spark, rows), listings(spark, [])), brands))).collect()
     assert {r["row_ord"]: r["product"] for r in ids} == {**{i: 1 for i in range(1, 60)}, 100: 100, 101: 101}
 
 
 def test_empty_catalogues(spark, brands):
     none = listings(spark, []).limit(0)
-    forms = products.forms(products.catalogue(none, none), brands)
+    forms = products.readings(products.forms(products.catalogue(none, none), brands))
     assert products.product_ids(forms).count() == 0 and matching.match(forms).count() == 0
 
 
@@ -135,20 +175,104 @@ def test_word_repairs(spark):
     assert got == {"orgnaic": "organic", "organci": "organic", "orgaic": "organic", "oatmael": "oatmeal", "oatmea1": "oatmeal"}
 
 
-def test_best_combination_is_the_same_for_equal_forms(spark):
-    rows = spark.createDataFrame([(1, "A", None, None, 1, "b", ["x", "y", "z", "w"]), (2, "A", None, None, 1, "b", ["w", "z", "y", "x"]), (3, "B", None, None, 1, "b", ["x", "y", "q"]), (4, "B", None, None, 1, "b", [f"t{i}" for i in range(30)])],
-                                 "row_ord bigint, source string, base string, content double, packs int, brand string, tokens array<string>")
-    got = {r["form"]: r["combination"] for r in products.vote(rows).collect()}
-    assert len(got) == 3 and all(set(c.split()) <= set(f.split()) for f, c in got.items())
+ROW = "row_ord bigint, source string, base string, content double, packs int, brand string, tokens array<string>, level string"
+
+
+def test_best_combination_against_brute_force(spark):
+    rng = random.Random(3)
+    toks = [rng.sample("pqrstuvw", rng.randrange(1, 6)) for _ in range(60)]
+    rows = spark.createDataFrame([(i, "A", None, None, 1, "b" if i % 2 else None, t, None) for i, t in enumerate([*toks, *toks[:9], [f"t{i}" for i in range(80)]])], ROW)
+    forms = products.ballots(rows)
+    got = {r["fid"]: r for r in products.elect(products.votes(forms)).collect()}
+    held, freq, places = forms.collect(), Counter(), Counter()
+    from itertools import combinations
+
+    options = {}
+    for r in held:
+        n = len(r["tokens"])
+        options[r["fid"]] = {p for k in (2, 3) for p in combinations(range(n), min(k, n))}
+        for p in options[r["fid"]]:
+            key = (r["brand"], frozenset(r["tokens"][i] for i in p))
+            freq[key] += r["n"]
+            places[key] += r["n"] * sum(p) / len(p)
+    for r in held:
+        def score(p, r=r):
+            key = (r["brand"], frozenset(r["tokens"][i] for i in p))
+            return math.log1p(freq[key]) * len(p) ** 2 / (1 + places[key] / freq[key])
+
+        own = tuple(i for i in range(60) if got[r["fid"]]["mask"] >> i & 1)
+        assert own in options[r["fid"]] and score(own) == pytest.approx(max(map(score, options[r["fid"]])), abs=1e-4)
+    assert max(len(r["tokens"]) for r in held) == 60
+
+
+def catalogue_of(spark, rows):
+    return spark.createDataFrame([(i, s, "g" if c else None, c, 1, b, t.split(), None) for i, s, b, t, c in rows], ROW)
+
+
+def groups_of(ids):
+    out = {}
+    for r in ids.collect():
+        out.setdefault(r["product"], set()).add(r["row_ord"])
+    return sorted(sorted(g) for g in out.values() if len(g) > 1)
+
+
+def test_votes_decide_the_products(spark, monkeypatch):
+    """Planted: advertising that only clusters reveal, a slip that a cluster vouches for, and two lines that look like slips."""
+    lines = ["aldbrook", "benfield", "corwick"]
+    rows, n = [], 0
+    for b in "xyz":
+        for line in lines:
+            for text in (f"{line} plum jam", f"{line} plum jam now even better"):
+                n += 1
+                rows.append((n, "A", b, text, 100.0))
+    rows += [(100 + i, "A", "x", "denmoor hand soap lavender", 50.0) for i in range(5)] + [(110, "A", "x", "denmoor hand soap lavnedr", 50.0)]
+    rows += [(120 + i, "A", "x", "froapkl oat bar", 70.0) for i in range(4)] + [(130, "A", "x", "froavkn oat bar", 70.0)]
+    want = [[k, k + 1] for k in range(1, 19, 2)] + [[100, 101, 102, 103, 104, 110], [120, 121, 122, 123]]
+    df = catalogue_of(spark, rows)
+    assert groups_of(products.product_ids(products.readings(df))) == want
+    monkeypatch.setattr(products, "elect", lambda cast: cast.groupBy("fid").agg(F.max("mask").alias("mask")).select("fid", F.col("fid").alias("cid"), "mask"))
+    apart = groups_of(products.product_ids(products.readings(df)))  # every form a cluster of its own
+    assert [1, 2] not in apart and [100, 101, 102, 103, 104] in apart
+    monkeypatch.setattr(products, "elect", lambda cast: cast.groupBy("fid").agg(F.max("mask").alias("mask")).select("fid", F.lit(0).cast("bigint").alias("cid"), "mask"))
+    one = groups_of(products.product_ids(products.readings(df)))  # one cluster for all
+    assert [120, 121, 122, 123, 130] in one
+
+
+def test_messages_decide_the_matches(spark, monkeypatch):
+    """Planted rivals: a row without a content beside the row that has it, and one that could be either of two."""
+    rows = [(1, "A", "x", "aldbrook plum jam", 100.0), (2, "A", "x", "aldbrook plum jam", None), (11, "B", "x", "aldbrook plum jam", 100.0),
+            (3, "A", "x", "benfield oat bar", None), (12, "B", "x", "benfield oat bar", 100.0), (13, "B", "x", "benfield oat bar", 200.0),
+            (4, "A", "x", "corwick rye bar", None), (14, "B", "x", "corwick rye bar", 200.0)]
+    rows += [(50 + i, "A", "y", f"other thing {'abcdefghij'[i]}{'abcdefghij'[i]}{'abcdefghij'[i]}", 10.0 + i) for i in range(10)]
+    read = products.readings(catalogue_of(spark, rows))
+    assert {(r["row_lo"], r["row_hi"]) for r in matching.match(read).collect()} == {(1, 11), (4, 14)}
+    monkeypatch.setattr(matching, "propagate", lambda pairs: pairs.withColumn("p", F.col("w") / (1 + F.col("w"))))
+    without = {(r["row_lo"], r["row_hi"]) for r in matching.match(read).collect()}
+    assert {(2, 11), (3, 12), (3, 13)} <= without
 
 
 def test_an_added_rare_word_and_an_unknown_content_can_match(spark):
     """A common added word names a variety; a rare one beside a rare line word does not, nor does a content that one side lacks."""
-    many = [(100 + i, "A", "b", ["common", "mint", "".join(chr(97 + i // 26**k % 26) for k in range(4))], "g", 90.0, 1) for i in range(2000)]
+    many = [(100 + i, "A", "b", ["common", "mint", "".join(chr(97 + i // 26**k % 26) for k in range(4))], "g", 90.0, 1, None) for i in range(2000)]
     pairs = [("quill", ["quill"], ["quill", "zesty"], 5.0, 5.0), ("brim", ["brim"], ["brim", "mint"], 6.0, 6.0), ("dorn", ["dorn"], ["dorn"], None, 7.0), ("ferd", ["ferd"], ["ferd", "organic"], 8.0, 8.0)]
-    rows = [(10 * k + j, "AB"[j], "b", [*toks, "common"], "g" if c else None, c, 1) for k, (_, x, y, cx, cy) in enumerate(pairs, start=1) for j, (toks, c) in enumerate([(x, cx), (y, cy)])]
-    df = spark.createDataFrame([*many, *rows], "row_ord bigint, source string, brand string, tokens array<string>, base string, content double, packs int")
-    assert {(r["row_lo"], r["row_hi"]) for r in matching.match(df).collect()} == {(10, 11), (30, 31)}
+    rows = [(10 * k + j, "AB"[j], "b", [*toks, "common"], "g" if c else None, c, 1, None) for k, (_, x, y, cx, cy) in enumerate(pairs, start=1) for j, (toks, c) in enumerate([(x, cx), (y, cy)])]
+    df = spark.createDataFrame([*many, *rows], "row_ord bigint, source string, brand string, tokens array<string>, base string, content double, packs int, level string")
+    assert {(r["row_lo"], r["row_hi"]) for r in matching.match(products.readings(df)).collect()} == {(10, 11), (30, 31)}
+
+
+def test_learnt_odds_follow_the_counts():
+    n = len(matching.LEVELS)
+    equal, common = (0,) * n, (0, 2, 0, 0, 0)
+    few, many = matching.learn([(equal, 100), (common, 10)]), matching.learn([(equal, 5000), (common, 10)])
+    assert few[equal] > 1 > few[common] and many[common] < few[common]
+    assert matching.learn([]) == {}
+
+
+def test_messages_that_do_not_settle_are_an_error(spark):
+    df = spark.createDataFrame([(i, j, 20.0) for i in range(4) for j in range(4)], "a int, b int, w double")
+    with pytest.raises(ValueError, match="still move"):
+        matching.propagate(df, tolerance=1e-12, most_rounds=3)
+    assert matching.propagate(df).count() == 16
 
 
 def test_marginals_against_enumeration(spark):
@@ -163,7 +287,7 @@ def test_marginals_against_enumeration(spark):
             for e in chosen:
                 of[e] += weight
     df = spark.createDataFrame([(a, b, x) for (a, b), x in w.items()], "a string, b string, w double")
-    got = {(r["a"], r["b"]): r["p"] for r in matching.propagate(df, tolerance=1e-9, most_rounds=30).collect()}
+    got = {(r["a"], r["b"]): r["p"] for r in matching.propagate(df, tolerance=1e-9).collect()}
     assert got == pytest.approx({e: of[e] / total for e in w}, abs=1e-6)
 
 
@@ -221,10 +345,10 @@ def test_pack(spark):
 def test_token_counts(spark):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(packing.TOKENIZER)
+    t = Tokenizer.from_file(queries.TOKENIZER)
     texts = ["plum jam", "", None, "<|endoftext|> " * 3, "word " * 30000]
     df = spark.createDataFrame(list(enumerate(texts)), "k bigint, t string")
-    got = {r["key"]: r["n_tokens"] for r in packing.token_counts(df, "k", "t").collect()}
+    got = {r["key"]: r["n_tokens"] for r in packing.token_counts(df, "k", "t", queries.TOKENIZER).collect()}
     assert got[0] == len(t.encode("plum jam").ids) and got[1] == got[2] == 0 and got[3] > 3 and got[4] >= 30000
 
 
@@ -251,6 +375,18 @@ def test_leaks(spark, monkeypatch, most):
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == {(1, 0), (2, 1), (4, 1), (8, 2), (8, 3), (9, 4)}
 
 
+@pytest.mark.parametrize("most", [leaks.MOST_HASHES, 0])
+def test_leaks_in_any_script_and_of_any_length(spark, monkeypatch, most):
+    monkeypatch.setattr(leaks, "MOST_HASHES", most)
+    rng = random.Random(8)
+    items = {1: "Съешь же ещё этих мягких французских булок да выпей чаю сейчас", 2: "春眠不覚暁処処聞啼鳥夜来風雨声", 3: "plum jam tart", 4: make_text(rng, 60)}
+    w = items[4].split()
+    often = " . ".join(f"{' '.join(w[:24])} {make_text(rng, 60)}" for _ in range(9))
+    docs = {1: f"Вот: {items[1]}!", 2: f"詩「{items[2]}」", 3: "a plum jam tart here", 4: "a plum jam", 5: f"{often} {' '.join(w[30:52])}", 6: "<a title='" + "x" * 300 + f"'>{items[4]}"}
+    got = leaks.find_leaks(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string"), spark.createDataFrame(list(items.items()), "item_id bigint, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == {(1, 1), (2, 2), (3, 3), (5, 4), (6, 4)}
+
+
 def test_seeds_ignore_masked_words():
     a, b = "one two three four five six seven".split(), "one two three FOUR five six seven".split()
     hit = [m for (m, x), (_, y) in zip(leaks.seeds(a), leaks.seeds(b), strict=True) if x[0] == y[0]]
@@ -290,6 +426,12 @@ def test_languages_held_out(spark):
     assert languages.identify(df.limit(0)).count() == 0
 
 
+def test_text_in_unknown_letters_is_undetermined(spark):
+    df = spark.createDataFrame([(1, "Съешь же ещё этих булок.", "en"), (2, "12 — 34", "en"), (3, "The jam is on the table.", "en")], "doc_id bigint, text string, lang string")
+    got = {r["key"]: (r["lang"], r["confidence"]) for r in languages.identify(df, languages=("en",)).collect()}
+    assert set(got) == {1, 3} and got[1] == (languages.UNKNOWN, 0.0) and got[3][0] == "en"
+
+
 def test_table_equals_vectors():
     """The table of products is what binding and bundling letter vectors gives."""
     langs, table = languages.score_table(SENTENCES, dims=256, epochs=0)
@@ -309,5 +451,5 @@ def test_lines_cut_by_a_break_are_joined():
 def test_extra_columns_do_not_matter(spark):
     df = spark.createDataFrame([(1, "plum jam and more plum jam", "en", "z", "z")], "doc_id bigint, text string, lang string, key string, n_tokens string")
     assert languages.identify(df, languages=("en",)).count() == 1
-    assert packing.token_counts(df, "doc_id", "text").count() == 1
+    assert packing.token_counts(df, "doc_id", "text", queries.TOKENIZER).count() == 1
     assert distinctive.residuals(df.withColumn("r", F.lit(1)), "doc_id", "text").count() == 2
