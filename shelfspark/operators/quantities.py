@@ -3,12 +3,15 @@
 A text is read into *readings*: every way in which its numbers, units and pack words can be combined into
 ``packs x content``. Two columns of a record are tied by physical identities: they state the same content
 (``content_1 = content_2``), or one states the total of the other (``content_1 = packs * content_2``), or one
-states a mass and the other a volume (``mass = density * volume``, with the density taken as 1 g/ml). Of all
-combinations of readings the one with the least sum of absolute log residuals of these identities is kept; a
-weak prior on the size of one container breaks what the identities leave open. If another combination with a
-different amount comes within ``tie`` of the best, the solution is flagged as not unique.
+states a mass and the other a volume (``mass = density * volume``). The density is not given: it is solved for each
+group of records as the median of mass over volume where both are stated beyond doubt (``densities``), and is 1 g/ml
+where no record of the collection says.
 
-The work is local to a row: no shuffle, one Arrow-batched pass.
+Of all combinations of readings the one with the least sum of absolute log residuals of these identities is kept.
+How usual a notation or the size of one container is decides only what the identities leave open. If another
+combination with a different amount comes within ``tie`` of the best, the solution is flagged as not unique.
+
+The work is local to a row: one Arrow-batched pass; the densities are a small grouped median before it.
 """
 
 from __future__ import annotations
@@ -222,24 +225,28 @@ def _prior(r: Reading) -> float:
     return 0.3 * (max(0.0, math.log(low / r[1])) + max(0.0, math.log(r[1] / high))) + r[3]
 
 
-def _residual(x: Reading, y: Reading) -> float:
-    """Least absolute log residual of the identities that may tie two readings."""
+#: Weight of what is usual once a second statement of the record speaks.
+PRIOR_WEIGHT = 0.1
+
+
+def _residual(x: Reading, y: Reading, density: float = 1.0) -> float:
+    """Least absolute log residual of the identities that may tie two readings; a mass meets a volume by the density."""
     if (x[0] == "count") != (y[0] == "count"):
         return 0.5
-    gap = 0.0 if x[0] == y[0] else 0.25
-    a, b = x[1], y[1]
+    a, b = (r[1] * (density if r[0] == "ml" and x[0] != y[0] else 1.0) for r in (x, y))
     ties = [(a, b), (a * x[2], b), (a, b * y[2]), (a * x[2], b * y[2])]
-    return gap + min(2.0, min(abs(math.log(p / q)) for p, q in ties))
+    return min(2.0, min(abs(math.log(p / q)) for p, q in ties))
 
 
-def solve(own: tuple[Reading, ...], other: tuple[Reading, ...], tie: float = 0.05) -> tuple[Reading, float, bool] | None:
+def solve(own: tuple[Reading, ...], other: tuple[Reading, ...], tie: float = 0.05, density: float = 1.0) -> tuple[Reading, float, bool] | None:
     """The reading of ``own`` with the least cost against ``other``; its residual; whether it is the only one."""
     if not own:
         return None
+    weight = PRIOR_WEIGHT if other else 1.0
     costs = []
     for x in own:
-        best = min(((_residual(x, y) + 0.5 * _prior(y), _residual(x, y)) for y in other), default=(0.0, 0.0))
-        costs.append((best[0] + _prior(x), best[1], x))
+        best = min(((_residual(x, y, density) + weight * _prior(y), _residual(x, y, density)) for y in other), default=(0.0, 0.0))
+        costs.append((best[0] + weight * _prior(x), best[1], x))
     costs.sort(key=lambda c: c[0])
     cost, residual, x = costs[0]
     rivals = [c for c in costs[1:] if c[0] - cost <= tie and (c[2][0], round(c[2][1] * c[2][2])) != (x[0], round(x[1] * x[2]))]
@@ -253,17 +260,17 @@ def half_up(x: float) -> int:
     return math.floor(x + 0.5 + 1e-9)
 
 
-def quantity(own: Column, other: Column) -> Column:
+def quantity(own: Column, other: Column, density: Column | None = None) -> Column:
     """Struct of the amount that ``own`` states, ``other`` being a second statement of the same record.
 
-    Null, empty and unit-less texts give null. Amounts are packs times content of one, in g, ml or pieces.
+    ``density``: g/ml of what the record describes, 1 where null. Null, empty and unit-less texts give null. Amounts are packs times content of one, in g, ml or pieces.
     """
 
     @F.pandas_udf(SOLUTION)
-    def udf(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    def udf(a: pd.Series, b: pd.Series, d: pd.Series) -> pd.DataFrame:
         rows = []
-        for x, y in zip(a, b, strict=True):
-            got = solve(readings(x), readings(y) if y else ()) if x else None
+        for x, y, g in zip(a, b, d, strict=True):
+            got = solve(readings(x), readings(y) if y else (), density=g if g and g > 0 else 1.0) if x else None
             if got is None:
                 rows.append((None,) * 6)
             else:
@@ -272,7 +279,31 @@ def quantity(own: Column, other: Column) -> Column:
         out = pd.DataFrame(rows, columns=["base_unit", "content", "packs", "base_amount", "residual", "is_unique"])
         return plain(out.astype({"packs": "Int32", "base_amount": "Int64", "is_unique": "boolean"}))
 
-    return udf(own, other)
+    return udf(own, other, F.lit(1.0) if density is None else density)
+
+
+#: Texts that may state a mass or a volume; only these are read for the densities.
+_MASS, _VOLUME = (r"(?i)\d[\s-]*(?:" + "|".join(UNIT_SPELLINGS[u] for u, (b, _) in UNIT_FACTORS.items() if b == base) + ")" for base in ("g", "ml"))
+
+
+def densities(df: DataFrame, own: str, other: str, group: str, least: int = 5) -> DataFrame:
+    """(group, density): g/ml of each group with ``least`` records that state a mass and a volume, each in one reading.
+
+    Groups with fewer, and null, have no row.
+    """
+
+    @F.pandas_udf("double")
+    def log_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b, strict=True):
+            sides = {r[0]: r[1] * r[2] for t in (x, y) for r in readings(t)} if len(readings(x)) == 1 == len(readings(y)) else {}
+            out.append(math.log(sides["g"] / sides["ml"]) if set(sides) == {"g", "ml"} else None)
+        return pd.Series(out, dtype="float64")
+
+    x, y = F.col(own), F.col(other)
+    both = df.where((x.rlike(_MASS) & y.rlike(_VOLUME)) | (x.rlike(_VOLUME) & y.rlike(_MASS))).where(F.col(group).isNotNull())
+    ratios = both.select(F.col(group).alias("group"), log_ratio(x, y).alias("r")).where("r is not null and not isnan(r)")
+    return ratios.groupBy("group").agg(F.exp(F.percentile_approx("r", 0.5)).alias("density"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("group", "density")
 
 
 def size_text(cell: Column) -> Column:
@@ -285,8 +316,16 @@ def size_text(cell: Column) -> Column:
     return udf(cell)
 
 
-def with_quantity(df: DataFrame, own: str, other: str, out: str = "q") -> DataFrame:
-    """Add the struct column ``out``; a clashing column of that name is replaced."""
-    return df.withColumn(out, quantity(F.col(own), F.col(other)))
-
+def with_quantity(df: DataFrame, own: str, other: str, out: str = "q", group: str | None = None) -> DataFrame:
+    """Add the struct column ``out``; a clashing column of that name is replaced.
 
+    ``group``: a column whose values share a density, solved from the records themselves. The densities are sent to the
+    workers up to 200,000 groups and joined by shuffle beyond.
+    """
+    if group is None:
+        return df.withColumn(out, quantity(F.col(own), F.col(other)))
+    known = densities(df, own, other, group).select(F.col("group").alias("__group"), F.col("density").alias("__density"))
+    rows = known.limit(200_001).collect()
+    known = df.sparkSession.createDataFrame(rows, known.schema) if len(rows) <= 200_000 else known
+    joined = df.join(F.broadcast(known) if len(rows) <= 200_000 else known, F.col(group) == F.col("__group"), "left")
+    return joined.withColumn(out, quantity(F.col(own), F.col(other), F.col("__density"))).drop("__group", "__density")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.operators.packed import split_packed
-from shelfspark.operators.quantities import quantity, size_text
+from shelfspark.operators.quantities import size_text, with_quantity
 from shelfspark.session import spread, table
 from shelfspark.sources.rejects import invalid_reason, parse_records, typed
 
@@ -17,10 +17,11 @@ A_COLUMNS = (
 
 
 def listing_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The content of every listing of both catalogues, solved against the other statement of its record."""
-    a = table(spark, sf_dir, "mini_a").select("row_ord", F.col("name").alias("own"), size_text("sizing_comp").alias("other"))
-    b = table(spark, sf_dir, "mini_b").select("row_ord", size_text("sizing_comp").alias("own"), F.col("name").alias("other"))
-    return spread(a.unionByName(b)).select("row_ord", quantity(F.col("own"), F.col("other")).alias("q"))
+    """The content of every listing of both catalogues, solved against the other statement of its record; densities by category."""
+    category = F.regexp_extract("item_info", r"""["']category_2["']\s*:\s*["']([^"']+)""", 1).alias("category")
+    a = table(spark, sf_dir, "mini_a").select("row_ord", F.col("name").alias("own"), size_text("sizing_comp").alias("other"), category)
+    b = table(spark, sf_dir, "mini_b").select("row_ord", size_text("sizing_comp").alias("own"), F.col("name").alias("other"), category)
+    return with_quantity(spread(a.unionByName(b)), "own", "other", "q", "category").select("row_ord", "q")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
