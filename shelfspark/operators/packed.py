@@ -1,21 +1,22 @@
 r"""Several values packed in one field, split into one value per row with its position.
 
-Two passes. The first collects the *dictionary*: whole values whose bounds are beyond doubt because they were
-enclosed in quotes or stood alone in their field. The second builds a multi-pattern automaton of the dictionary
-on every worker, finds all known values in a field, and lets dynamic programming pick the cheapest cover of the
-field by segments: a quoted segment, a known value, or an unknown run up to the next delimiter. A delimiter
-inside a chosen segment is protected.
+Two passes. The first collects the *dictionary*: whole values that hold a delimiter and whose bounds are beyond doubt
+because they were enclosed in quotes or stood alone in their field (values without a delimiter need no protection).
+The second builds a multi-pattern automaton of the dictionary on every worker, finds all known values in a field, and
+lets dynamic programming pick the cheapest cover of the field by segments: a quoted segment, a known value, or an
+unknown run up to the next delimiter. A delimiter inside a chosen segment is protected.
 
-``protect='quoted'``: known values may cover a delimiter only inside quotes (the notation decides).
-``protect='known'``: a known value may cover a delimiter even without quotes, for feeds that lost their quotes.
+``protect='quoted'``: known values may cover a delimiter only where the notation leaves it open: after a quote that
+opens an element and never closes. ``protect='known'``: also without quotes, for feeds that lost their quotes.
 
 Inside ``{}`` or ``[]`` only the comma separates; elsewhere comma, semicolon, bar and tab do. Empty elements are
-dropped and take no position; repeated values stay; null and empty fields give no row.
+dropped and take no position; repeated values stay; null and empty fields give no row. A dictionary beyond what may be
+sent to the workers is joined to the runs of elements that might be a value of it, with the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pandas as pd
@@ -26,8 +27,8 @@ from pyspark.sql import types as T
 from shelfspark.session import plain
 
 DELIMITERS = ",;|\t"
-#: The dictionary is sent to every worker only up to this many values of at most this many characters each.
-MOST_VALUES, MOST_CHARS = 100_000, 80
+#: The dictionary is sent to every worker only up to this many values, and this many characters altogether.
+MOST_VALUES, MOST_CHARS = 100_000, 20_000_000
 _SIMPLE = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f"}
 
 
@@ -97,16 +98,40 @@ def automaton(values: list[str]) -> ahocorasick.Automaton:
     return a
 
 
-def segments(field: str, known: ahocorasick.Automaton | None = None, protect: str = "quoted") -> list[tuple[str, bool]]:
-    """(value, was quoted) of every element that is not empty, in order."""
+def notation(field: str) -> tuple[str, str, str]:
+    """The body of a field, its delimiters and its quotes."""
     body, inside = unwrap(field)
-    delims = "," if inside else DELIMITERS
-    quotes = "\"'" if field.strip()[:1] == "[" else '"'
+    return body, "," if inside else DELIMITERS, "\"'" if field.strip()[:1] == "[" else '"'
+
+
+def places(body: str, known: ahocorasick.Automaton) -> list[tuple[int, int]]:
+    """(begin, end) of all known values in a text."""
+    return [(end + 1 - size, end + 1) for end, size in known.iter(body)] if len(known) else []
+
+
+def runs(field: str, most: int) -> list[tuple[int, int, str]]:
+    """(begin, end, text) of every run of two to ``most`` + 1 plain elements, outer white space off: what might be a known value."""
+    body, delims, quotes = notation(field)
+    cuts = [-1, *(i for i, c in enumerate(body) if c in delims), len(body)]
+    out = []
+    for i in range(len(cuts) - 1):
+        for j in range(i + 2, min(i + most + 1, len(cuts) - 1) + 1):
+            a, b = cuts[i] + 1, cuts[j]
+            while a < b and (body[a].isspace() or body[a] in quotes):
+                a += 1
+            text = body[a:b].rstrip()
+            if text:
+                out.append((a, a + len(text), text))
+    return out
+
+
+def segments(field: str, known: list[tuple[int, int]] | None = None, protect: str = "quoted") -> list[tuple[str, bool]]:
+    """(value, was quoted) of every element that is not empty, in order; ``known``: places of known values in its body."""
+    body, delims, quotes = notation(field)
     n = len(body)
     hits: dict[int, list[int]] = {}
-    if known is not None and len(known):
-        for end, size in known.iter(body):
-            hits.setdefault(end + 1 - size, []).append(end + 1)
+    for a, b in known or ():
+        hits.setdefault(a, []).append(b)
     best: dict[int, tuple[float, int, bool]] = {0: (0.0, -1, False)}
     i = 0
     while i <= n:  # positions at which an element may begin, in order
@@ -132,11 +157,13 @@ def segments(field: str, known: ahocorasick.Automaton | None = None, protect: st
                 else:
                     b += 1
             ends.append((b, 1.0, False))
-            for e in hits.get(a, ()):
+            # After a quote that never closes a known value says where its element ends.
+            torn = a < n and body[a] in quotes
+            for e in hits.get(a + 1 if torn else a, ()):
                 b = e
                 while b < n and body[b].isspace() and body[b] not in delims:
                     b += 1
-                if (b == n or body[b] in delims) and (protect == "known" or not any(c in delims for c in body[a:e])):
+                if (b == n or body[b] in delims) and (torn or protect == "known"):
                     ends.append((b, 0.1, False))
         for b, c, q in ends:
             nxt = b + 1
@@ -147,18 +174,18 @@ def segments(field: str, known: ahocorasick.Automaton | None = None, protect: st
     k = n + 1
     while k > 0:
         _, start, q = best[k]
-        v = value_of(body[start : k - 1], quotes)
+        part = body[start : k - 1].strip()
+        if not q and part[:1] and part[0] in quotes and any(start < a < k and b - a == len(part) - 1 for a, b in known or ()):
+            part = part[1:]
+        v = value_of(part, quotes)
         if v:
             out.append((v, q))
         k = start
     return out[::-1]
 
 
-def dictionary(df: DataFrame, column: str, least: int = 2) -> list[str] | None:
-    """Values seen at least ``least`` times in quotes or alone; None beyond the bound of what may be sent.
-
-    Without a dictionary the notation alone decides, which gives the same rows where ``protect`` is 'quoted'.
-    """
+def dictionary(df: DataFrame, column: str, least: int = 2) -> DataFrame:
+    """(value): values with a delimiter, seen at least ``least`` times in quotes or alone."""
 
     def sure(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -166,16 +193,13 @@ def dictionary(df: DataFrame, column: str, least: int = 2) -> list[str] | None:
             for field in pdf["field"]:
                 got = segments(field)
                 for v, q in got:
-                    if (q or len(got) == 1) and len(v) <= MOST_CHARS:
+                    if (q or len(got) == 1) and any(c in DELIMITERS for c in v):
                         seen[v] = seen.get(v, 0) + 1
             yield plain(pd.DataFrame({"value": list(seen), "n": list(seen.values())}))
 
     fields = df.select(F.col(column).cast("string").alias("field")).where("field is not null and trim(field) != ''")
     counted = fields.mapInPandas(sure, "value string, n bigint").groupBy("value").agg(F.sum("n").alias("n"))
-    rows = counted.where(F.col("n") >= least).select("value").limit(MOST_VALUES + 1).toArrow().column(0).to_pylist()
-    if len(rows) > MOST_VALUES:
-        return None
-    return sorted(rows)
+    return counted.where(F.col("n") >= least).select("value")
 
 
 def split_packed(df: DataFrame, key: str, column: str, protect: str = "quoted", known: list[str] | None = None) -> DataFrame:
@@ -185,22 +209,48 @@ def split_packed(df: DataFrame, key: str, column: str, protect: str = "quoted",
     fields = df.select(F.col(key).alias("key"), F.col(column).cast("string").alias("field")).where(
         "field is not null and trim(field) != ''"
     )
-    words = dictionary(df, column) if known is None else known
-    if words is None and protect == "known":
-        raise ValueError(f"more than {MOST_VALUES} known values: pass the dictionary that is meant, or split by parts of the feed")
-
-    def split(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a = automaton(words) if words else None
-        for pdf in it:
-            keys, pos, values = [], [], []
-            for k, field in zip(pdf["key"], pdf["field"], strict=True):
-                for p, (v, _) in enumerate(segments(field, a, protect), start=1):
-                    keys.append(k)
-                    pos.append(p)
-                    values.append(v)
-            yield pd.DataFrame({"key": pd.Series(keys, dtype=pdf["key"].dtype), "pos": pd.Series(pos, dtype="int64"), "value": pd.Series(values, dtype=object)})
-
+    if known is None:
+        words = dictionary(df, column)
+        size = words.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.char_length("value")), F.lit(0)).alias("c")).first()
+        held = [r["value"] for r in words.collect()] if size["n"] <= MOST_VALUES and size["c"] <= MOST_CHARS else None
+    else:
+        words, held = None, known
     schema = T.StructType(
         [T.StructField("key", fields.schema["key"].dataType), T.StructField("pos", T.LongType()), T.StructField("value", T.StringType())]
     )
-    return fields.mapInPandas(split, schema)
+
+    def rows(pdf: pd.DataFrame, found: Callable[[int, str], list[tuple[int, int]]]) -> pd.DataFrame:
+        keys, pos, values = [], [], []
+        for i, (k, field) in enumerate(zip(pdf["key"], pdf["field"], strict=True)):
+            for p, (v, _) in enumerate(segments(field, found(i, field), protect), start=1):
+                keys.append(k)
+                pos.append(p)
+                values.append(v)
+        return pd.DataFrame({"key": pd.Series(keys, dtype=pdf["key"].dtype), "pos": pd.Series(pos, dtype="int64"), "value": pd.Series(values, dtype=object)})
+
+    if held is not None:
+        sent = df.sparkSession.sparkContext.broadcast(sorted(held))
+
+        def split(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            a = automaton(sent.value)
+            for pdf in it:
+                yield rows(pdf, lambda i, field: places(notation(field)[0], a))
+
+        return fields.mapInPandas(split, schema)
+
+    most = words.agg(F.max(F.char_length("value") - F.char_length(F.translate("value", DELIMITERS, "")))).first()[0]
+    kinds = T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()), T.StructField("value", T.StringType())]))
+
+    @F.pandas_udf(kinds)
+    def might(s: pd.Series) -> pd.Series:
+        return s.map(lambda f: [{"a": a, "b": b, "value": t} for a, b, t in runs(f, most)])
+
+    # Equal fields have equal hits, so they are joined once.
+    texts = fields.select("field").distinct().select("field", F.inline(might("field")))
+    hits = texts.join(words, "value").groupBy("field").agg(F.collect_list(F.struct("a", "b")).alias("hits"))
+
+    def split_joined(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            yield rows(pdf, lambda i, field: [(h["a"], h["b"]) for h in (pdf["hits"].iloc[i] if pdf["hits"].iloc[i] is not None else ())])
+
+    return fields.join(hits, "field", "left").select("key", "field", "hits").mapInPandas(split_joined, schema)

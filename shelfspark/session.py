@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 import pandas as pd
@@ -18,6 +20,7 @@ def build_session(name: str = "shelfspark", master: str | None = None, **conf: s
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     builder = SparkSession.builder.appName(name).config(map=settings)
     return (builder.master(master) if master else builder).getOrCreate()
@@ -41,6 +44,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="shelfspark-checkpoint-", dir=os.environ.get("TMPDIR"))
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 

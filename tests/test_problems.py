@@ -30,6 +30,28 @@ def test_ambiguous_reading_is_settled_by_the_other_column():
     assert quantities.solve(own, quantities.readings("1.5 g"))[0][1] == 1.5
 
 
+def test_residuals_decide_against_what_is_usual(monkeypatch):
+    """Planted: the second statement holds a reading that no prior would choose; without residuals the usual one stands."""
+    own, other = quantities.readings("Saffron 1,420 kg"), quantities.readings("1.42 kg")
+    assert quantities.solve(own, other)[0][1] == 1420
+    own, other = quantities.readings("Oil 3/4 oz"), quantities.readings("3 x 4 oz")
+    assert (quantities.solve(own, other)[0][1:3], quantities.solve(own, ())[0][2]) == ((pytest.approx(4 * 28.349523125), 3), 3)
+    two = (("g", 900.0, 1, 0.0), ("g", 1400.0, 1, 0.02))
+    volume = (("ml", 1000.0, 1, 0.0),)
+    assert quantities.solve(two, volume, density=1.4)[0][1] == 1400.0 and quantities.solve(two, volume, density=0.9)[0][1] == 900.0
+    monkeypatch.setattr(quantities, "_residual", lambda x, y, density=1.0: 0.0)
+    assert quantities.solve(two, volume, density=1.4)[0][1] == 900.0
+
+
+def test_density_is_solved_from_the_records(spark):
+    rows = [(i, f"Honey {n} g", f"{n / 1.4:.1f} ml", "honey") for i, n in enumerate((140, 280, 350, 420, 700))] + [(9, "Honey 1,400 g", "1 l", "honey"), (10, "Oil 5 g", "5 ml", "oil"), (11, None, "5 ml", None)]
+    df = spark.createDataFrame(rows, "k int, own string, other string, kind string")
+    assert {r["group"]: round(r["density"], 2) for r in quantities.densities(df, "own", "other", "kind").collect()} == {"honey": 1.4}
+    got = {r["k"]: r["q"] for r in quantities.with_quantity(df, "own", "other", group="kind").collect()}
+    assert got[9]["base_amount"] == 1400 and got[9]["residual"] == pytest.approx(0, abs=0.01) and got[0]["residual"] == pytest.approx(0, abs=0.01) and got[11]["base_amount"] is None
+    assert quantities.densities(df.limit(0), "own", "other", "kind").count() == 0
+
+
 def test_non_unique_solutions_are_flagged():
     own = (("g", 100.0, 1, 0.0), ("g", 200.0, 1, 0.0))
     assert quantities.solve(own, ())[2] is False
@@ -62,8 +84,24 @@ def test_segments(field, want):
 
 def test_dictionary_protects_known_values():
     a = packed.automaton(["salt, pepper & lime", "vegan"])
-    assert [v for v, _ in packed.segments("vegan, salt, pepper & lime, raw", a, "known")] == ["vegan", "salt, pepper & lime", "raw"]
-    assert len(packed.segments("vegan, salt, pepper & lime, raw", a, "quoted")) == 4
+    values = lambda field, protect, known=a: [v for v, _ in packed.segments(field, packed.places(packed.notation(field)[0], known), protect)]
+    assert values("vegan, salt, pepper & lime, raw", "known") == ["vegan", "salt, pepper & lime", "raw"]
+    assert len(values("vegan, salt, pepper & lime, raw", "quoted")) == 4
+    # A quote that never closes: only the dictionary knows where the value ends.
+    assert values('{"salt, pepper & lime,keto}', "quoted") == ["salt, pepper & lime", "keto"]
+    assert values('raw;"salt, pepper & lime; keto', "quoted") == ["raw", "salt, pepper & lime", "keto"]
+    assert values('{"salt, pepper & lime,keto}', "quoted", packed.automaton([])) == ['"salt', "pepper & lime", "keto"]
+
+
+@pytest.mark.parametrize("protect", ["quoted", "known"])
+def test_dictionary_beyond_the_bound_gives_the_same_rows(spark, monkeypatch, protect):
+    long = "long value, " + "x" * 200
+    fields = ['"a, b"', '"a, b"', '{"a, b,c}', "a, b; c", "c|a, b", None, "", f'"{long}"', f'"{long}"', f'q;"{long}', '["a, b", c', "  a, b"]
+    df = spark.createDataFrame(list(enumerate(fields)), "k bigint, tags string")
+    got = sorted(tuple(r) for r in packed.split_packed(df, "k", "tags", protect).collect())
+    assert (2, 1, "a, b") in got and (9, 2, long) in got
+    monkeypatch.setattr(packed, "MOST_VALUES", 0)
+    assert sorted(tuple(r) for r in packed.split_packed(df, "k", "tags", protect).collect()) == got
 
 
 def test_split_packed(spark):
@@ -71,7 +109,7 @@ def test_split_packed(spark):
     got = sorted(tuple(r) for r in packed.split_packed(df, "k", "tags").collect())
     assert got == [(1, 1, "a"), (1, 2, "b"), (4, 1, "a, b"), (5, 1, "a, b")]
     assert packed.split_packed(df.limit(0), "k", "tags").count() == 0
-    assert packed.dictionary(df, "tags") == ["a, b"]
+    assert [r["value"] for r in packed.dictionary(df, "tags").collect()] == ["a, b"]
     with pytest.raises(ValueError):
         packed.split_packed(df, "k", "tags", protect="all")
 
@@ -130,6 +168,15 @@ def test_rejects_against_brute_force(spark):
             assert [got[i][c] or "" for c in COLUMNS] == cells, repr(line)
 
 
+def test_reject_table_gives_the_reasons(spark, monkeypatch):
+    lines = ["a,b,c,d", "a,b,c", "a,b,c,d,e", 'a,"b",c\ue000,d', "a,b", "\ue000,1,2"]
+    assert {i: k for i, k in rejects._load(lines[:3], 4)[1].items()} == {1: "MISSING COLUMNS", 2: "TOO MANY COLUMNS"}
+    df = spark.createDataFrame(list(enumerate(lines)), "n bigint, line string").coalesce(1)
+    got = {r["key"]: r for r in rejects.parse_records(df, "n", "line", COLUMNS).collect()}
+    assert [got[i]["reason"] for i in range(6)] == [None, "wrong_column_count", "wrong_column_count", None, "wrong_column_count", "wrong_column_count"]
+    assert got[3]["c2"] == "c\ue000"
+
+
 @pytest.mark.parametrize(("value", "want"), [
     ("2024-02-29T23:59:59Z", True), ("2023-02-29T00:00:00Z", False), ("2024-01-01T24:00:00Z", False), ("", True), (None, True), (" ", False), ("2024-01-01", False),
     ("2024-01-01T00:00:00Z\n", False), ("1712041200", False),
