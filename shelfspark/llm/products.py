@@ -213,14 +213,17 @@ def votes(forms: DataFrame, ks: tuple[int, ...] = (2, 3)) -> DataFrame:
                 places = {tuple(range(len(toks))) if len(toks) <= k else p for k in ks for p in combinations(range(len(toks)), min(k, len(toks)))}
                 for p in places:
                     cid = xxhash.xxh64_intdigest("\x00".join([b, *sorted(toks[i] for i in p)])) - 2**63
-                    out.append((f, cid, n, len(p), sum(p) / len(p), sum(1 << i for i in p)))
-            yield plain(pd.DataFrame(out, columns=["fid", "cid", "n", "k", "pos", "mask"]))
-
-    # Numbers instead of words: this is the widest table of the operator.
-    cast = cut_lineage(forms.select("brand", "fid", "n", "tokens").mapInPandas(run, "fid bigint, cid bigint, n bigint, k int, pos float, mask bigint"))
-    tally = cast.groupBy("cid").agg(F.sum("n").alias("f"), (F.sum(F.col("pos") * F.col("n")) / F.sum("n")).alias("mean_pos"))
-    score = F.round(F.log1p("f") * F.pow(F.col("k"), F.lit(2)) / (1 + F.col("mean_pos")), 6)
-    return cast.join(tally, "cid").select("fid", "cid", "mask", score.alias("score"))
+                    out.append((f, cid, n, len(p), sum(p), sum(1 << i for i in p)))
+            yield plain(pd.DataFrame(out, columns=["fid", "cid", "n", "k", "places", "mask"]))
+
+    # Numbers instead of words: this is the widest table of the operator. As one array they cross one exchange, by
+    # combination, that serves both the tally and the join.
+    cast = forms.select("brand", "fid", "n", "tokens").mapInPandas(run, "fid bigint, cid bigint, n bigint, k bigint, places bigint, mask bigint")
+    cast = cast.select("cid", F.array("fid", "n", "k", "places", "mask").alias("v")).repartition("cid")
+    fid, n, k, places, mask = (F.col("v")[i] for i in range(5))
+    tally = cast.groupBy("cid").agg(F.sum(n).alias("f"), (F.sum(places / k * n) / F.sum(n)).alias("mean_pos"))
+    score = F.round(F.log1p("f") * F.pow(k, F.lit(2)) / (1 + F.col("mean_pos")), 6)
+    return cast.join(tally, "cid").select(fid.alias("fid"), "cid", mask.alias("mask"), score.alias("score"))
 
 
 def elect(cast: DataFrame) -> DataFrame:
