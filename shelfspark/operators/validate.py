@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfspark.functions.text import is_numeric_id
@@ -58,13 +59,40 @@ def violations(pairs: DataFrame, ids_a: DataFrame, ids_b: DataFrame, required: d
     return out
 
 
+_CELL = r'"(?:[^"]|"")*"|[^",]*'
+#: Messages brought to the driver; a last one says how many more there are.
+MOST_MESSAGES = 1000
+
+
+def _numbered(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, line) of a text file, counted from 1 across its splits: only the lines of each split are summed beforehand."""
+    each = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("id")).select("value", "id", F.shiftright("id", 33).alias("part"))
+    sizes = each.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row a split
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    row = F.col("id").bitwiseAND(2**33 - 1)
+    return each.join(F.broadcast(offsets), "part").select((F.col("offset") + row + 1).alias("line_no"), F.col("value").alias("line"))
+
+
+def _cells(line: Column) -> Column:
+    """The cells of a record, quotes undone; a record that is not well quoted is one cell."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f",({_CELL})"), 1)
+    plain = F.transform(raw, lambda c: F.when(c.startswith('"'), F.replace(F.substr(c, F.lit(2), F.char_length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+    return F.when(line.rlike(rf"\A(?:{_CELL})(?:,(?:{_CELL}))*\z"), plain).otherwise(F.array(line))
+
+
+def _messages(df: DataFrame, text: Callable[[Row], str]) -> list[str]:
+    out = [text(r) for r in df.orderBy("line_no").limit(MOST_MESSAGES).collect()]
+    more = df.count() - len(out) if len(out) == MOST_MESSAGES else 0
+    return out + [f"and {more} more"] * (more > 0)
+
+
 def read_match_lines(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     """(line_no, item_id_a, item_id_b) of a match file, and the errors of its header and of rows with other than two cells.
 
-    Line numbers count from 2 behind the header. A file is one split here: a match file has one row per record.
+    Line numbers count from 2 behind the header. The file is read in splits; a record is one line.
     """
-    text = spark.read.text(path, wholetext=True).withColumn("lines", F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n"))
-    lines = text.select(F.posexplode("lines").alias("pos", "line")).select((F.col("pos") + 1).cast("bigint").alias("line_no"), F.split(F.regexp_replace("line", '"', ""), ",").alias("cells"))
+    lines = _numbered(spark, path).select("line_no", _cells(F.col("line")).alias("cells"))
     head = lines.where("line_no = 1").select("cells").first()
     errors = []
     if head is None or head["cells"] == [""]:
@@ -72,18 +100,16 @@ def read_match_lines(spark: SparkSession, path: str) -> tuple[DataFrame, list[st
     if tuple(head["cells"]) != HEADER:
         errors.append(f"invalid header: {head['cells']}")
     body = lines.where("line_no > 1")
-    for r in body.where("size(cells) != 2").orderBy("line_no").limit(1000).collect():
-        errors.append(f"line {r['line_no']}: expected 2 columns, got {len(r['cells'])}")
+    errors += _messages(body.where("size(cells) != 2"), lambda r: f"line {r['line_no']}: expected 2 columns, got {len(r['cells'])}")
     return body.where("size(cells) = 2").select("line_no", F.col("cells")[0].alias("item_id_a"), F.col("cells")[1].alias("item_id_b")), errors
 
 
 def validate_file(spark: SparkSession, path: str, ids_a: DataFrame, ids_b: DataFrame, min_rows: int = 0, required: dict[str, str] | None = None) -> ValidationResult:
-    """Summary of a file's violations; at most 1,000 messages are brought to the driver."""
+    """Summary of a file's violations; of many, the first messages and how many more there are."""
     import os
 
     if "://" not in path and not os.path.exists(path):
         return ValidationResult(False, [f"file not found: {path}"], 0)
     pairs, errors = read_match_lines(spark, path)
-    for r in violations(pairs, ids_a, ids_b, required, min_rows).orderBy("line_no").limit(1000).collect():
-        errors.append(f"line {r['line_no']}: {r['kind']} {r['item_id_a']} {r['item_id_b']} {r['expected'] or ''}".strip())
+    errors += _messages(violations(pairs, ids_a, ids_b, required, min_rows), lambda r: f"line {r['line_no']}: {r['kind']} {r['item_id_a']} {r['item_id_b']} {r['expected'] or ''}".strip())
     return ValidationResult(not errors, errors, pairs.count())

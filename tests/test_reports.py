@@ -93,6 +93,21 @@ def test_match_file_round_trip(spark, tmp_path):
     assert "empty" in validate.validate_file(spark, path, ids_a, ids_b).errors[0]
 
 
+def test_match_file_in_splits_with_quoted_cells(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "m.csv")
+    (tmp_path / "m.csv").write_text('item_id_A,"item_id_B"\n' + "".join(f"{i},{i}\n" for i in range(2000)) + '"x, ""y""",z\n1,2,3\n\n"a"b,c\n')
+    monkeypatch.setattr(validate, "MOST_MESSAGES", 2)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+    try:
+        pairs, errors = validate.read_match_lines(spark, path)
+        got = {r["line_no"]: (r["item_id_a"], r["item_id_b"]) for r in pairs.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {i + 2: (str(i), str(i)) for i in range(2000)} | {2002: ('x, "y"', "z")}
+    assert errors == ["line 2003: expected 2 columns, got 3", "line 2004: expected 2 columns, got 1", "and 1 more"]
+
+
 @pytest.mark.parametrize(("answer", "ok"), [
     ('{"same_product_for_customer":true,"confidence":0.9,"reason":"r","blocking_issue":null}', True),
     ('```json\n{"same_product_for_customer":false,"confidence":1,"reason":"r","blocking_issue":"size"}\n```', True),
