@@ -291,6 +291,84 @@ def test_marginals_against_enumeration(spark):
     assert got == pytest.approx({e: of[e] / total for e in w}, abs=1e-6)
 
 
+def bound_words(n, seed=0):
+    return ["".join(chr(97 + (i + seed) // 26**k % 26) for k in range(3)) + "word" for i in range(n)]
+
+
+def best_by_brute_force(forms, barred=()):
+    """The best score of each form over all combinations of its tokens, without the barred places."""
+    from itertools import combinations
+
+    freq, places = Counter(), Counter()
+    for r in forms:
+        for k in (2, 3):
+            for p in combinations(range(len(r["tokens"])), k):
+                key = (r["brand"], frozenset(r["tokens"][i] for i in p))
+                freq[key] += r["n"]
+                places[key] += r["n"] * sum(p) / k
+    out = {}
+    for r in forms:
+        left = [i for i in range(len(r["tokens"])) if i not in dict(barred).get(r["fid"], ())]
+        scores = {}
+        for k in (2, 3):
+            for p in combinations(left, k):
+                key = (r["brand"], frozenset(r["tokens"][i] for i in p))
+                scores[p] = math.log1p(freq[key]) * k * k / (1 + places[key] / freq[key])
+        out[r["fid"]] = scores
+    return out
+
+
+def test_long_titles_vote_with_all_their_tokens(spark):
+    """The best combination of titles beyond 63 tokens, those shared with short and with long ones and those of one title alone."""
+    rng = random.Random(5)
+    words = bound_words(90)
+    late = ["startone", "starttwo", "startthree"]  # at the end of a long title, at the start of many short ones
+    toks = [[*words[:66], *late], [*words[3:70], "lone"], rng.sample(words, 70), rng.sample(words, 64), words[20:82]]
+    short = [[*late, f"tail{c}"] for c in "abcdefgh"] + [rng.sample(words, 6) for _ in range(10)]
+    rows = [("b" if i % 3 else None, t) for i, t in enumerate([*toks, *toks[:2], *short, *short])]
+    forms = products.distinct_forms(spark.createDataFrame([(i, "A", None, None, 1, b, t, None) for i, (b, t) in enumerate(rows)], ROW))
+    held = [r for r in forms.collect() if len(r["tokens"]) >= 2]
+    assert max(len(r["tokens"]) for r in held) == 70
+    long = [r["fid"] for r in held if len(r["tokens"]) > products.ALL_PROPOSED]
+    barred = {f: [0, 1, 2, 5] for f in long[::2]}
+    for places in ({}, barred):
+        given = spark.createDataFrame(list(places.items()), "fid bigint, ad array<int>") if places else None
+        cast = products.votes(forms, barred=given)
+        at = F.transform("tokens", lambda t, i: products._holds("mask", i))
+        if given is not None:
+            cast = cast.join(given, "fid", "left").where(F.col("ad").isNull() | ~F.exists("ad", lambda i: products._holds("mask", i)))
+        got = {r["fid"]: tuple(i for i, x in enumerate(r["own"]) if x) for r in products.elect(cast).join(forms, "fid").select("fid", at.alias("own")).collect()}
+        scores = best_by_brute_force(held, places.items())
+        assert set(got) == set(scores)
+        for f, p in got.items():
+            assert scores[f][p] == pytest.approx(max(scores[f].values()), abs=1e-5)
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_promising_against_brute_force(k):
+    from itertools import combinations
+
+    rng = random.Random(k)
+    for _ in range(40):
+        m = rng.randrange(k, 12)
+        f, lo = [rng.randrange(1, 40) for _ in range(m)], sorted(rng.randrange(0, 30) for _ in range(m))
+        bound = {c: math.log1p(min(f[j] for j in c)) * k * k / (1 + sum(lo[j] for j in c) / k) for c in combinations(range(m), k)}
+        least = rng.choice(sorted(bound.values())) - 1e-9
+        assert set(products.promising(f, lo, k, least)) == {c for c, x in bound.items() if x >= least}
+
+
+def test_words_beyond_the_sixtieth_and_long_advertising_decide_matches(spark):
+    """Long titles that differ only in late rare words are no partners; advertising is left out of titles and in runs of any length."""
+    line, loud = bound_words(64), "now even better than it ever was before"
+    rows = [(1, "A", "x", " ".join([*line, "aldbrook", "benfield"]), 100.0), (11, "B", "x", " ".join([*line, "corwick", "denmoor"]), 100.0)]
+    for i, b in enumerate("pqrs"):
+        long = bound_words(63, 2000 + 100 * i)
+        rows += [(20 + i, "A", b, " ".join(long), 50.0), (30 + i, "B", b, " ".join([*long, *loud.split()]), 50.0)]
+        rows += [(40 + i, "A", b, f"oat bar {'abcd'[i] * 5}", 70.0), (50 + i, "B", b, f"oat bar {'abcd'[i] * 5} {loud}", 70.0)]
+    got = {(r["row_lo"], r["row_hi"]) for r in matching.match(products.readings(catalogue_of(spark, rows))).collect()}
+    assert got == {(20 + i, 30 + i) for i in range(4)} | {(40 + i, 50 + i) for i in range(4)}
+
+
 # --- packing -------------------------------------------------------------------------------------------------
 
 
