@@ -13,6 +13,7 @@ from shelfspark.functions import attrs, semi, sizes
 from shelfspark.functions.text import brand_text, nullify, squeeze
 from shelfspark.operators import retrieval
 from shelfspark.plans import match
+from shelfspark.session import cut_lineage
 
 #: Phrases without meaning for a product that a name group leaves out (fixed values).
 FILLERS = ("value size", "family size", "party size", "club pack", "pack of", "size may vary")
@@ -59,27 +60,39 @@ def name_group(name: Column, brand: Column) -> Column:
     return squeeze(F.regexp_replace(sizes.without_sizes(s), r"\b(?:" + "|".join(FILLERS) + r")\b|[,;]", " "))
 
 
-def probe_index(docs: DataFrame, key: str, text: str, max_share: float = 0.95, min_df: int = 2, most_letters: int = 250_000) -> tuple[DataFrame, dict[str, Column]]:
-    """(idf, spaces): words that at most ``max_share`` of the documents hold; the most frequent letter grams of at least ``min_df``."""
-    spaces = {"word": retrieval.word_grams(F.col(text)), "letter": retrieval.letter_grams(F.col(text))}
-    terms = retrieval.term_table(docs, key, text, spaces)
-    n = docs.where(F.col(text).isNotNull()).agg(F.count(F.lit(1)).alias("n"))
-    words = retrieval.idf_table(terms.where("space = 'word'"), n, max_share=max_share)
-    letters = retrieval.idf_table(terms.where("space = 'letter'"), n, min_df=min_df)
-    total = terms.where("space = 'letter'").groupBy("term").agg(F.sum("tf").alias("total"))
-    kept = letters.join(total, "term").orderBy(F.col("total").desc(), "term").limit(most_letters).drop("total")
-    return words.unionByName(kept.select(*words.columns)), spaces
+SPACES = ("word", "letter")
+
+
+def probe_index(docs: DataFrame, text: str, max_share: float = 0.95, min_df: int = 2, most_letters: int = 250_000) -> DataFrame:
+    """(term, idf): words that at most ``max_share`` of the documents hold; the most frequent letter grams of at least ``min_df``."""
+    counts = cut_lineage(retrieval.term_counts(docs, text, SPACES, named=("letter",)))
+    n = docs.where(F.col(text).isNotNull()).count()
+    words = counts.where((F.col("space") == 0) & (F.col("df") <= max_share * n))
+    letters = counts.where((F.col("space") == 1) & (F.col("df") >= min_df))
+    if letters.count() > most_letters:
+        letters = letters.orderBy(F.col("total").desc(), "name").limit(most_letters)
+    return words.unionByName(letters).select("term", (F.log(F.lit(1.0 + n) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
 def probe_top_k(queries: DataFrame, docs: DataFrame, q_key: str, d_key: str, text: str, k: int, **index) -> DataFrame:
-    """(a, b, score, rank) of the k best documents of each query; documents that share nothing fill up with score 0, by id."""
-    idf, spaces = probe_index(docs, d_key, text, **index)
-    wd = retrieval.weights(retrieval.term_table(docs, d_key, text, spaces), idf, joint=True)
-    wq = retrieval.weights(retrieval.term_table(queries, q_key, text, spaces), idf, joint=True)
-    scored = retrieval._sql_scores(wq, wd, [])
+    """(a, b, score, rank) of the k best documents of each query; documents that share nothing fill up with score 0, by id.
+
+    Up to ``retrieval.FEW_QUERIES`` queries go to the documents; more of them are joined by term.
+    """
+    idf = cut_lineage(probe_index(docs, text, **index))
+    sent = retrieval.sent_terms(idf)
+    wd, wq = (retrieval.weighted(retrieval.term_vectors(x, key, text, SPACES), idf, sent, len(SPACES), joint=True) for x, key in ((docs, d_key), (queries, q_key)))
+    few = retrieval.FEW_QUERIES
+    if queries.limit(few + 1).count() <= few:
+        asked = wq.withColumn("block", F.lit("")).collect()
+        scored = retrieval.few_top_k(asked, wd.withColumn("blocks", F.array(F.lit(""))), k, wq.schema["doc"].dataType.simpleString())
+    else:
+        each = [v.select("doc", F.lit("").alias("space"), F.explode(F.arrays_zip("terms", "ws")).alias("e")).select("doc", "space", F.col("e.terms").alias("term"), F.col("e.ws").alias("w")) for v in (wq, wd)]
+        scored = retrieval._sql_scores(*each, [])
+    scored = cut_lineage(retrieval.top_k(scored, k))
     first = docs.select(F.col(d_key).alias("b")).orderBy(F.col("b").cast("string")).limit(2 * k)  # no query lacks more than k
     unrelated = queries.select(F.col(q_key).alias("a")).crossJoin(F.broadcast(first)).join(scored.select("a", "b"), ["a", "b"], "left_anti").withColumn("score", F.lit(0.0))
-    return retrieval.top_k(scored.unionByName(unrelated), k)
+    return retrieval.top_k(scored.drop("rank").unionByName(unrelated), k)
 
 
 def rank_of(candidates: DataFrame, expected: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfspark.functions import sizes
-from shelfspark.operators import probe
+from shelfspark.operators import probe, retrieval
 from tests.test_matching import A, B, RAW, listing
 
 
@@ -32,6 +32,20 @@ def test_unrelated_documents_fill_up(spark):
     assert {r["b"]: r["rank"] for r in probe.rank_of(got, want).collect()} == {2: 3, 3: None}
 
 
+def test_terms_are_counted_and_scored_where_the_rows_are(spark, monkeypatch):
+    q = spark.createDataFrame([(1, "plum jam"), (2, "oat tea"), (3, "zzz")], "k bigint, text string")
+    d = spark.createDataFrame([(i, f"{x} {y}") for i, (x, y) in enumerate((x, y) for x in ("plum", "oat", "rye", "plums") for y in ("jam", "tea", "bar", "jams"))], "k bigint, text string")
+    rows = lambda: sorted((r["a"], r["rank"], r["b"], round(r["score"], 9)) for r in probe.probe_top_k(q, d, "k", "k", "text", 4, most_letters=20).collect())
+    few = rows()
+    got = probe.probe_top_k(q, d, "k", "k", "text", 4, most_letters=20)
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()  # no row for each term of a document
+    monkeypatch.setattr(retrieval, "FEW_QUERIES", 0)
+    assert len(few) == 12 and rows() == few
+    monkeypatch.setattr(retrieval, "MOST_SENT_TERMS", 0)
+    monkeypatch.setattr(retrieval, "MOST_HELD_TERMS", 5)
+    assert rows() == few
+
+
 def test_trace_and_signals(spark):
     a = spark.createDataFrame([listing(1, "Acme Plum Jam, 10 oz", "Acme", c=A), listing(2, "Great Value Jam", "", c=A)], RAW)
     b = spark.createDataFrame([listing(21, "Acme Plum Jam", "Acme", size="10 oz", c=B), listing(22, "Acme Plum Jam", "Acme", size="20 oz", c=B)], RAW)
