@@ -13,7 +13,7 @@ from shelfspark.functions import attrs, semi, sizes
 from shelfspark.functions.text import brand_text, nullify, squeeze
 from shelfspark.operators import retrieval
 from shelfspark.plans import match
-from shelfspark.session import cut_lineage
+from shelfspark.session import cut_lineage, stored
 
 #: Phrases without meaning for a product that a name group leaves out (fixed values).
 FILLERS = ("value size", "family size", "party size", "club pack", "pack of", "size may vary")
@@ -105,8 +105,9 @@ def trace(raw_a: DataFrame, raw_b: DataFrame, item_id: str, config: match.MatchC
 
     The filter on the record stands before the search; the index is still fitted on all of B.
     """
-    a, b = match.products(raw_a.where(F.col("item_id") == item_id), "A"), match.products(raw_b, "B")
-    return match.scored_pairs(match.candidates(a, b, config.top_k, config.strategy), a, b)
+    a, b = cut_lineage(match.products(raw_a.where(F.col("item_id") == item_id), "A")), stored(match.products(raw_b, "B"))
+    found = cut_lineage(match.candidates(a, b, config.top_k, config.strategy))
+    return match.scored_pairs(found, a, b.join(F.broadcast(found.select(F.col("b").alias("item_id")).distinct()), "item_id", "left_semi"))
 
 
 def label_signals(df: DataFrame, source: str) -> DataFrame:

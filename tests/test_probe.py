@@ -46,6 +46,18 @@ def test_terms_are_counted_and_scored_where_the_rows_are(spark, monkeypatch):
     assert rows() == few
 
 
+def test_few_queries_move_no_vectors(spark, monkeypatch):
+    q = spark.createDataFrame([(1, "plum jam", "p"), (2, "oat tea", "q"), (3, "plum", None)], "k bigint, text string, g string")
+    d = spark.createDataFrame([(i, f"{x} {y}", [g]) for i, (x, y, g) in enumerate((x, y, g) for x in ("plum", "oat") for y in ("jam", "tea", "jams") for g in "pq")], "k bigint, text string, gs array<string>")
+    find = lambda: retrieval.tfidf_top_k(q, d, "k", "k", "text", 2, "g", "gs")
+    rows = lambda df: sorted((r["a"], r["rank"], r["b"], round(r["score"], 9)) for r in df.collect())
+    few = find()
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" not in plan and "Join" not in plan and len(rows(few)) == 4
+    monkeypatch.setattr(retrieval, "FEW_QUERIES", 0)
+    assert rows(find()) == rows(few)
+
+
 def test_trace_and_signals(spark):
     a = spark.createDataFrame([listing(1, "Acme Plum Jam, 10 oz", "Acme", c=A), listing(2, "Great Value Jam", "", c=A)], RAW)
     b = spark.createDataFrame([listing(21, "Acme Plum Jam", "Acme", size="10 oz", c=B), listing(22, "Acme Plum Jam", "Acme", size="20 oz", c=B)], RAW)
